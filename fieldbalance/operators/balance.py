@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterable, Sequence
+from itertools import islice, repeat
 from math import copysign, inf, isnan, nan
 
 import numpy as np
@@ -17,51 +18,70 @@ RAW_FACTOR = 0.0073
 STATES = ["ws", "es", "wt", "raw", "ex", "aet", "drainage"]
 
 
-def _least(a: float, b: float) -> float:
-    return nan if isnan(a) or isnan(b) else min(a, b)
-
-
-def _greatest(a: float, b: float) -> float:
-    return nan if isnan(a) or isnan(b) else max(a, b)
-
-
 def _ratio(a: float, b: float) -> float:
     if b:
         return a / b
     return nan if isnan(a) or a == 0 else copysign(inf, a)
 
 
-def two_store_series(pet: Sequence[float], rain: Sequence[float], wt0: float, ws0: float,
-                     awhc: float, awhcs: float,
-                     measured: Sequence[float] | None = None) -> np.ndarray:
-    """States of one series, a row per day in the order of ``STATES``.
+def _deficits(pet: Sequence[float], rain: Sequence[float], measured: Iterable[float],
+              wt0: float, ws0: float, awhc: float, awhcs: float) -> tuple[list, list]:
+    """Deficits of the profile and of its top store, day after day.
+
+    Comparisons are arranged so that a NaN on either side wins, which is how a
+    missing day makes all later deficits missing.
+    """
+    wt, ws = wt0, ws0
+    wts, wss = [wt], [ws]
+    for e, p, seen in islice(zip(pet, rain, measured), 1, None):
+        es = awhcs + ws
+        es = es if es <= e or es != es else e
+        top = ws + p - es
+        ws = top if top < 0.0 or top != top else 0.0
+        held = awhc + wt
+        left = awhc - RAW_FACTOR * (e * held)
+        ex = e * (held / left if left else _ratio(held, left))
+        ex = es if es > ex or es != es else ex
+        aet = e if e < ex or e != e else ex
+        level = seen if seen == seen else wt + p - aet
+        wt = level if level < 0.0 or level != level else 0.0
+        wts.append(wt)
+        wss.append(ws)
+    return wts, wss
+
+
+def two_store_series(pet: np.ndarray, rain: np.ndarray, wt0: float, ws0: float,
+                     awhc: float, awhcs: float, measured: np.ndarray | None = None) -> np.ndarray:
+    """States of one series, a column of the result per day, rows as in ``STATES``.
 
     ``wt`` and ``ws`` are the deficits of the profile and of its top store, never
     above 0. Day one holds the start values. NaN stands for missing and passes
     through. A measured deficit, where there is one, replaces the modelled one.
+    Only the two deficits depend on the day before; the rest follows from them
+    for all days at once.
     """
-    out = np.zeros((len(pet), len(STATES)))
-    ws, wt = ws0, wt0
-    out[:1, 0], out[:1, 2] = ws, wt
-    for t in range(1, len(pet)):
-        e, p, before = pet[t], rain[t], wt
-        es = _least(e, awhcs + ws)
-        ws = _least(0.0, ws + p - es)
+    out = np.zeros((len(STATES), len(pet)))
+    if not len(pet):
+        return out
+    seen = repeat(nan) if measured is None else measured.tolist()
+    wt, ws = (np.array(v) for v in _deficits(pet.tolist(), rain.tolist(), seen,
+                                             wt0, ws0, awhc, awhcs))
+    e, p, before = pet[1:], rain[1:], wt[:-1]
+    with np.errstate(divide="ignore", invalid="ignore"):
+        es = np.minimum(e, awhcs + ws[:-1])
         held = awhc + before
         raw = RAW_FACTOR * (e * held)
-        ex = _greatest(es, e * _ratio(held, awhc - raw))
-        aet = _least(e, ex)
-        modelled = before + p - aet
-        if measured is not None and not isnan(measured[t]):
-            wt = _least(0.0, measured[t])
-        else:
-            wt = _least(0.0, modelled)
-        out[t] = ws, es, wt, raw, ex, aet, _greatest(0.0, wt + before + p - aet)
+        ex = np.maximum(es, e * (held / (awhc - raw)))
+        aet = np.minimum(e, ex)
+        drainage = np.maximum(0.0, wt[1:] + before + p - aet)
+    out[0], out[2] = ws, wt
+    for row, values in ((1, es), (3, raw), (4, ex), (5, aet), (6, drainage)):
+        out[row, 1:] = values
     return out
 
 
-def _floats(column: pa.ChunkedArray) -> list[float]:
-    return column.to_numpy().astype(float).tolist()
+def _floats(column: pa.ChunkedArray) -> np.ndarray:
+    return column.to_numpy().astype(float)
 
 
 def _site_runner(level_columns: dict[int, str],
@@ -90,8 +110,8 @@ def _site_runner(level_columns: dict[int, str],
             resets = {d: s for d, s in resets if d is not None}
             swd = None
             if resets:
-                swd = [nan if (s := resets.get(d)) is None else s
-                       for d in daily["date"].to_pylist()]
+                swd = np.array([nan if (s := resets.get(d)) is None else s
+                                for d in daily["date"].to_pylist()])
             start = [nan if v is None else v for v in start]
             states = two_store_series(pet, rain[irrigation], *start, measured=swd)
             n = len(pet)
@@ -100,7 +120,7 @@ def _site_runner(level_columns: dict[int, str],
                  pa.repeat(pa.scalar(n_rate, pa.string()), n), shared[1], shared[2],
                  daily[level_columns[irrigation]],
                  pa.array(swd if swd is not None else [None] * n, pa.float64(), from_pandas=True),
-                 *[pa.array(states[:, i], from_pandas=True) for i in range(len(STATES))]],
+                 *[pa.array(states[i], from_pandas=True) for i in range(len(STATES))]],
                 schema=out_schema))
         return pa.concat_tables(tables)
 
@@ -133,8 +153,11 @@ def water_balance(daily: DataFrame, treatments: DataFrame, reset: DataFrame | No
               if (m := re.fullmatch(r"precipitation_(\d+)", c))}
     if not levels:
         raise ValueError("daily rows need a precipitation_<level> column")
+    # A fixed number of partitions: merging them by size would put the Python work
+    # of many small sites into one task.
+    tasks = int(daily.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     days = daily.select("site_id", "date", F.col(pet_col).cast("double").alias("pet"),
-                        *levels.values())
+                        *levels.values()).repartition(tasks, "site_id")
     starts = treatments.select("site_id", F.col("irrigation").cast("int").alias("irrigation"),
                                "n_rate", "wt0", "ws0", "awhc", "awhcs")
     if reset is None:

@@ -26,6 +26,8 @@ def sheet_means(soil: DataFrame, flags: DataFrame | None = None,
     ``seen_k``, how many unflagged cells it rests on."""
     numbers = layer_numbers(layer_columns)
     good = {k: F.lit(True) for k in numbers.values()}
+    # Numbers before the join: they are half as wide as their text.
+    soil = soil.withColumns({name: to_number(name) for name in numbers})
     if flags is not None:
         marks = flags.groupBy(F.col("site_id").alias("_site"), F.col("date").alias("_date"),
                               F.col("plot").alias("_plot")).agg(
@@ -36,7 +38,7 @@ def sheet_means(soil: DataFrame, flags: DataFrame | None = None,
                          & soil["plot"].eqNullSafe(marks["_plot"]), "left")
         good = {k: ~F.coalesce(F.col(f"_bad_{k}"), F.lit(False)) for k in good}
     return soil.groupBy(*PROFILE_KEYS).agg(
-        *[F.avg(F.when(good[k], to_number(name)) * MM_PER_PERCENT).alias(f"sw_{k}")
+        *[F.avg(F.when(good[k], F.col(name)) * MM_PER_PERCENT).alias(f"sw_{k}")
           for name, k in numbers.items()],
         *[F.count_if(good[k]).alias(f"seen_{k}") for k in numbers.values()])
 

@@ -25,7 +25,6 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 QUERIES: dict[str, Query] = {}
 _SQL: dict[str, str] = {}
-DIGITS = 6
 
 
 def query(sql: str | None = None):
@@ -41,14 +40,32 @@ def oracle_sql() -> dict[str, str]:
     return {name: statement(sql) for name, sql in _SQL.items()}
 
 
+# Results such as 6.8556125 end on a half at the seventh decimal, where the last
+# bit of a sum decides the rounding. Rounding a hair above the half keeps both
+# sides clear of that.
+HALF = 0.500137219
+
+
+def _six(column: str):
+    """Six decimals by the same arithmetic on both sides."""
+    return F.floor(F.col(column) * 1e6 + HALF) / 1e6
+
+
 def _rounded(df: DataFrame) -> DataFrame:
     doubles = [f.name for f in df.schema.fields if isinstance(f.dataType, T.DoubleType)]
-    return df.withColumns({c: F.round(F.col(c), DIGITS) for c in doubles})
+    return df.withColumns({c: _six(f"`{c}`") for c in doubles})
+
+
+def _sql_six(expression: str) -> str:
+    return f"floor(({expression}) * CAST(1e6 AS DOUBLE) + CAST({HALF} AS DOUBLE)) / CAST(1e6 AS DOUBLE)"
 
 
 def _r(*columns: str) -> str:
-    """The same rounding in SQL; adding 0 turns a negative zero into zero."""
-    return ", ".join(f'round("{c}", {DIGITS}) + 0.0 AS "{c}"' for c in columns)
+    return ", ".join(f'{_sql_six(_quoted(c))} AS "{c}"' for c in columns)
+
+
+def _quoted(column: str) -> str:
+    return f'"{column}"'
 
 
 # Views used by many queries -------------------------------------------------
@@ -161,17 +178,17 @@ def select_by_regex(spark, sf):
     return headers.select_by_regex(trial.soil_sheet(spark, sf), "^VWC.+")
 
 
-@query("""
-SELECT site_id, date, round(rain - pet, 6) + 0.0 AS surplus, -pet + 0.0 AS loss,
-  round(rain / 8 * 3, 6) AS share, CAST(year(date) AS VARCHAR) AS season
+@query(f"""
+SELECT site_id, date, {_sql_six("rain - pet")} AS surplus, {_sql_six("-pet")} AS loss,
+  {_sql_six("rain / 8 * 3")} AS share, CAST(year(date) AS VARCHAR) AS season
 FROM v_weather""")
 def derive_columns(spark, sf):
     rows = _weather(spark, sf).withColumns({
-        "surplus": F.round(F.col("rain") - F.col("pet"), DIGITS),
+        "surplus": F.col("rain") - F.col("pet"),
         "loss": -F.col("pet"),
-        "share": F.round(F.col("rain") / 8 * 3, DIGITS),
+        "share": F.col("rain") / 8 * 3,
         "season": F.year("date").cast("string")})
-    return rows.withColumn("loss", F.col("loss") + 0.0).drop("pet", "rain")
+    return _rounded(rows.drop("pet", "rain"))
 
 
 _RAW_HEADER = ["Crop", "Date", "Irrigation", "", "Plot No", "N rate", "Irrigation", "2nd", None,
@@ -322,13 +339,13 @@ def _nested(spark, sf):
 
 @query(f"""
 SELECT {_TREATMENT}, year(date) AS chunk, CAST(count(*) AS INTEGER) AS days,
-  min(date) AS first_date, round(arg_min(swd, date), 6) + 0.0 AS first_swd
+  min(date) AS first_date, {_sql_six("arg_min(swd, date)")} AS first_swd
 FROM v_swd WHERE depth = 3 GROUP BY ALL""")
 def nest_by_treatment(spark, sf):
     rows = F.col("rows")
-    return _nested(spark, sf).select(
+    return _rounded(_nested(spark, sf).select(
         *soil.TREATMENT, "chunk", F.size(rows).alias("days"),
-        rows[0]["date"].alias("first_date"), F.round(rows[0]["swd"], DIGITS).alias("first_swd"))
+        rows[0]["date"].alias("first_date"), rows[0]["swd"].alias("first_swd")))
 
 
 @query(f"""
@@ -417,7 +434,7 @@ def swd_profile(spark, sf):
 
 @query(f"""
 SELECT site_id, crop, date, irrigation, 'Nitrogen ' || n_rate AS n_rate, {_r('profile_water')},
-  CAST(400 AS DOUBLE) AS pawc, round(profile_water - 400, 6) + 0.0 AS swd
+  CAST(400 AS DOUBLE) AS pawc, {_sql_six("profile_water - 400")} AS swd
 FROM v_profiles WHERE depth = 8""")
 def swd_fixed_pawc(spark, sf):
     return _rounded(soil.swd_profile(_layers(spark, sf), pawc=400))
@@ -474,7 +491,7 @@ def seed_first_row(spark, sf):
     return series.seed_first_row(rows, "crop", "Potato", ["site_id"])
 
 
-@query("SELECT site_id, crop, date, round(ndvi, 6) + 0.0 AS ndvi FROM v_canopy_line")
+@query(f"SELECT site_id, crop, date, {_r('ndvi')} FROM v_canopy_line")
 def interpolate_linear(spark, sf):
     """Canopy index of every crop on every day between its observations."""
     rows = trial.scanned_canopy(spark, sf)
@@ -510,9 +527,9 @@ def runs_by_nonnull(spark, sf):
                                   block=F.year("date"))
 
 
-@query("""
+@query(f"""
 SELECT CAST(DATE '1970-01-01' + CAST((date - DATE '1970-01-01') // 7 * 7 AS INTEGER) AS DATE)
-    AS time, site_id, crop, irrigation, nitrogen, round(avg(mean), 6) AS mean
+    AS time, site_id, crop, irrigation, nitrogen, {_sql_six("avg(mean)")} AS mean
 FROM v_summary GROUP BY ALL""")
 def canopy_time_bucket(spark, sf):
     rows = report.canopy_time_bucket(_summary(spark, sf))
@@ -647,7 +664,7 @@ def publish_wide(spark, sf):
 
 
 def _panel(column: str, name: str) -> str:
-    return f'round("{column}", {DIGITS}) + 0.0 AS "{name}"'
+    return f'{_sql_six(_quoted(column))} AS "{name}"'
 
 
 @query("SELECT site_id, date AS time, "
@@ -666,7 +683,7 @@ def panel_drainage(spark, sf):
 
 
 @query("\nUNION ALL\n".join(
-    f"""SELECT site_id, date, profile, '{c}' AS variable, round("{c}", 6) + 0.0 AS value
+    f"""SELECT site_id, date, profile, '{c}' AS variable, {_sql_six(_quoted(c))} AS value
 FROM v_published WHERE profile IS NULL OR profile NOT IN ('20 cm', '40 cm')"""
     for c in nitrogen_columns("Wt_", "SWD_")))
 def figure_long_60cm(spark, sf):
@@ -674,7 +691,7 @@ def figure_long_60cm(spark, sf):
 
 
 @query("\nUNION ALL\n".join(
-    f"""SELECT site_id, date, '{c}' AS variable, nullif(round("{c}", 6) + 0.0, 0) AS value
+    f"""SELECT site_id, date, '{c}' AS variable, nullif({_sql_six(_quoted(c))}, 0) AS value
 FROM v_published WHERE profile IS NULL OR profile NOT IN ('20 cm', '40 cm')"""
     for c in nitrogen_columns("Drainage_")))
 def figure_drainage(spark, sf):

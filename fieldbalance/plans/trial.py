@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from fieldbalance.plans.season import SeasonTables
 from fieldbalance.schemas import (CANOPY_SHEET, FLAG_SHEET, GROWTH_EVENT, IRRIGATION_DIARY,
                                   LAYER_COLUMNS, PET, RAIN, SOIL_SHEET, validate)
+from fieldbalance.session import spread
 
 # Critical dates of the crops and what happened on them.
 GROWTH_EVENTS = [
@@ -44,7 +45,7 @@ SENSORS = ["Sunscan", "Greenseeker"]
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spread(spark.read.parquet(f"{sf_dir}/{name}.parquet"))
 
 
 def _site(key: str, per_site: int) -> Column:

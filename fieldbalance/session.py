@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 _local_folder: str | None = None
 
@@ -47,3 +47,13 @@ def shared_folder(spark: SparkSession) -> str:
 def new_shared_path(spark: SparkSession, name: str) -> str:
     """A path below the shared folder that nothing has written yet."""
     return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Hand the rows of a small scan round to all cores.
+
+    A file with one row group is read by one task, and so is everything up to
+    the next shuffle. A scan with at least one split per core stays as it is.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
