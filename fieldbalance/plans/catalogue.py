@@ -338,7 +338,7 @@ def _nested(spark, sf):
 
 
 @query(f"""
-SELECT {_TREATMENT}, year(date) AS chunk, CAST(count(*) AS INTEGER) AS days,
+SELECT {_TREATMENT}, CAST(year(date) AS INTEGER) AS chunk, CAST(count(*) AS INTEGER) AS days,
   min(date) AS first_date, {_sql_six("arg_min(swd, date)")} AS first_swd
 FROM v_swd WHERE depth = 3 GROUP BY ALL""")
 def nest_by_treatment(spark, sf):

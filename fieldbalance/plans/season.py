@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame
 from fieldbalance.functions.dates import with_local_date
 from fieldbalance.operators import balance, canopy, soil_sheet, weather
 from fieldbalance.plans import report
+from fieldbalance.sources.published import publish, read_published
 
 
 @dataclass
@@ -55,3 +56,19 @@ def season(tables: SeasonTables, top_depth: int = 3, use_corrected_pet: bool = F
         "published_1": report.publish_wide(states, depths, 1),
         "published_2": report.publish_wide(states, depths, 2),
     }
+
+
+def publish_season(tables: SeasonTables, path: str, **options) -> None:
+    """Write balance, depths and both published tables below a shared path.
+
+    The balance and the depths are written first and read back, so the days are
+    walked once and a lost executor does not start the walk again.
+    """
+    spark = tables.soil.sparkSession
+    results = season(tables, **options)
+    for name in ("balance", "profile_depths"):
+        publish(results[name], f"{path}/{name}")
+    states = read_published(spark, f"{path}/balance")
+    depths = read_published(spark, f"{path}/profile_depths")
+    for level in (1, 2):
+        publish(report.publish_wide(states, depths, level), f"{path}/published_{level}")
