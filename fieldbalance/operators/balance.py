@@ -3,15 +3,20 @@
 from __future__ import annotations
 
 import re
+import sys
 from collections.abc import Callable, Iterable, Sequence
 from itertools import islice, repeat
 from math import copysign, inf, isnan, nan
 
 import numpy as np
 import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+# Executors get the code of this module with the task; they need no copy of the package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 # Fixed value of the readily-available-water term.
 RAW_FACTOR = 0.0073
 
@@ -153,11 +158,8 @@ def water_balance(daily: DataFrame, treatments: DataFrame, reset: DataFrame | No
               if (m := re.fullmatch(r"precipitation_(\d+)", c))}
     if not levels:
         raise ValueError("daily rows need a precipitation_<level> column")
-    # A fixed number of partitions: merging them by size would put the Python work
-    # of many small sites into one task.
-    tasks = int(daily.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     days = daily.select("site_id", "date", F.col(pet_col).cast("double").alias("pet"),
-                        *levels.values()).repartition(tasks, "site_id")
+                        *levels.values())
     starts = treatments.select("site_id", F.col("irrigation").cast("int").alias("irrigation"),
                                "n_rate", "wt0", "ws0", "awhc", "awhcs")
     if reset is None:

@@ -13,7 +13,6 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from fieldbalance.functions.nulls import to_number
 from fieldbalance.operators.soil import (FULL_DEPTH, MM_PER_PERCENT, PROFILE_KEYS,
                                          REPORTED_DEPTHS, TREATMENT, _depth_rows,
                                          _treatment_inputs, layer_numbers, with_deficit)
@@ -23,24 +22,32 @@ from fieldbalance.schemas import LAYER_COLUMNS
 def sheet_means(soil: DataFrame, flags: DataFrame | None = None,
                 layer_columns: Sequence[str] = LAYER_COLUMNS) -> DataFrame:
     """Per treatment and day: ``sw_k``, the mean water (mm) of layer k, and
-    ``seen_k``, how many unflagged cells it rests on."""
+    ``seen``, whose bit k-1 tells that some cell of layer k was not flagged.
+
+    Which layers are flagged or seen travels as one number. A column for each
+    would triple the aggregates and make the generated code too long to compile.
+    """
     numbers = layer_numbers(layer_columns)
-    good = {k: F.lit(True) for k in numbers.values()}
+    if len(numbers) > 30:
+        raise ValueError("at most 30 layers fit the mask")
+    bit = {name: 1 << (k - 1) for name, k in numbers.items()}
     # Numbers before the join: they are half as wide as their text.
-    soil = soil.withColumns({name: to_number(name) for name in numbers})
-    if flags is not None:
+    rows = soil.withColumns({name: F.expr(f"try_cast(`{name}` AS double)") for name in numbers})
+    if flags is None:
+        rows = rows.withColumn("_bad", F.lit(0))
+    else:
+        mark = " + ".join(f"if(`{name}` = 1, {b}, 0)" for name, b in bit.items())
         marks = flags.groupBy(F.col("site_id").alias("_site"), F.col("date").alias("_date"),
                               F.col("plot").alias("_plot")).agg(
-            *[F.max(F.coalesce(F.col(name) == 1, F.lit(False))).alias(f"_bad_{k}")
-              for name, k in numbers.items()])
-        soil = soil.join(marks, (soil["site_id"] == marks["_site"])
-                         & (soil["date"] == marks["_date"])
-                         & soil["plot"].eqNullSafe(marks["_plot"]), "left")
-        good = {k: ~F.coalesce(F.col(f"_bad_{k}"), F.lit(False)) for k in good}
-    return soil.groupBy(*PROFILE_KEYS).agg(
-        *[F.avg(F.when(good[k], F.col(name)) * MM_PER_PERCENT).alias(f"sw_{k}")
-          for name, k in numbers.items()],
-        *[F.count_if(good[k]).alias(f"seen_{k}") for k in numbers.values()])
+            F.expr(f"bit_or({mark})").alias("_bad"))
+        rows = rows.join(marks, (rows["site_id"] == marks["_site"])
+                         & (rows["date"] == marks["_date"])
+                         & rows["plot"].eqNullSafe(marks["_plot"]), "left")
+        rows = rows.withColumn("_bad", F.coalesce("_bad", F.lit(0)))
+    return rows.groupBy(*PROFILE_KEYS).agg(
+        F.expr(f"bit_or({sum(bit.values())} & ~_bad)").alias("seen"),
+        *[F.expr(f"avg(if(_bad & {bit[name]} = 0, `{name}` * {MM_PER_PERCENT}, NULL))")
+          .alias(f"sw_{k}") for name, k in numbers.items()])
 
 
 def _layer_range(means: DataFrame, depth: int) -> list[int]:
@@ -51,18 +58,17 @@ def _layer_range(means: DataFrame, depth: int) -> list[int]:
 def _water(means: DataFrame, depth: int) -> tuple[Column, Column]:
     """Profile water to a depth, and whether any cell of it was seen."""
     layers = _layer_range(means, depth)
-    water = sum((F.coalesce(F.col(f"sw_{k}"), F.lit(0.0)) for k in layers), F.lit(0.0))
-    seen = sum((F.col(f"seen_{k}") for k in layers), F.lit(0))
-    return water, seen > 0
+    water = " + ".join(f"coalesce(sw_{k}, 0D)" for k in layers)
+    return F.expr(water), F.expr(f"seen & {sum(1 << (k - 1) for k in layers)} > 0")
 
 
 def layers_from_means(means: DataFrame) -> DataFrame:
     """The long layer table: one row per layer that has an unflagged cell."""
     rows = F.inline(F.array(*[
         F.struct(F.lit(k).alias("layer"), F.col(f"sw_{k}").alias("sw"),
-                 F.col(f"seen_{k}").alias("seen"))
+                 F.expr(f"seen & {1 << (k - 1)} > 0").alias("seen"))
         for k in _layer_range(means, FULL_DEPTH)]))
-    return means.select(*PROFILE_KEYS, rows).filter("seen > 0").drop("seen")
+    return means.select(*PROFILE_KEYS, rows).filter("seen").drop("seen")
 
 
 def swd_from_means(means: DataFrame, max_depth: int = FULL_DEPTH,

@@ -48,12 +48,12 @@ HALF = 0.500137219
 
 def _six(column: str):
     """Six decimals by the same arithmetic on both sides."""
-    return F.floor(F.col(column) * 1e6 + HALF) / 1e6
+    return F.expr(f"floor(`{column}` * 1e6D + {HALF}D) / 1e6D")
 
 
 def _rounded(df: DataFrame) -> DataFrame:
     doubles = [f.name for f in df.schema.fields if isinstance(f.dataType, T.DoubleType)]
-    return df.withColumns({c: _six(f"`{c}`") for c in doubles})
+    return df.withColumns({c: _six(c) for c in doubles})
 
 
 def _sql_six(expression: str) -> str:
@@ -141,7 +141,10 @@ def _states(spark, sf, **how):
 
 
 def _published(spark, sf):
-    return report.publish_wide(_states(spark, sf), _depths(spark, sf))
+    """The table of irrigation level 1; the other level's days are not walked."""
+    states = balance.water_balance(_daily(spark, sf),
+                                   _inputs(spark, sf).filter("irrigation = 1"))
+    return report.publish_wide(states, _depths(spark, sf), 1)
 
 
 _READING = "site_id, crop, date, plot, irrigation, n_rate"

@@ -60,10 +60,10 @@ def _crop(date: str) -> Column:
 
 def soil_sheet(spark: SparkSession, sf_dir: str) -> DataFrame:
     def cell(k: int) -> Column:
-        percent = 8 + (F.col("l_quantity").cast("long") * (k + 3) + F.col("l_partkey")) % 30
-        return (F.when((F.col("l_orderkey") + k) % 97 == 0, "n/a")
-                .when((F.col("l_partkey") + k) % 53 == 0, None)
-                .otherwise(F.concat(percent.cast("string"), F.lit(".5"))))
+        return F.expr(f"""
+            CASE WHEN (l_orderkey + {k}) % 97 = 0 THEN 'n/a'
+                 WHEN (l_partkey + {k}) % 53 = 0 THEN NULL
+                 ELSE concat(8 + (cast(l_quantity AS long) * {k + 3} + l_partkey) % 30, '.5') END""")
 
     rows = table(spark, sf_dir, "lineitem").select(
         _site("l_suppkey", 4).alias("site_id"), _crop("l_shipdate").alias("crop"),
@@ -76,12 +76,11 @@ def soil_sheet(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def flag_sheet(spark: SparkSession, sf_dir: str) -> DataFrame:
-    partial = F.col("o_orderstatus") == "P"
     rows = table(spark, sf_dir, "orders").select(
         _site("o_custkey", 60).alias("site_id"),
         F.date_trunc("month", "o_orderdate").cast("timestamp").alias("date"),
         F.expr("o_custkey div 15").cast("string").alias("plot"),
-        *[F.when(partial & (F.col("o_orderkey") % 8 == k), 1).alias(name)
+        *[F.expr(f"CASE WHEN o_orderstatus = 'P' AND o_orderkey % 8 = {k} THEN 1 END").alias(name)
           for k, name in enumerate(LAYER_COLUMNS)],
         F.col("o_orderpriority").alias("comments"))
     return validate(rows, FLAG_SHEET)

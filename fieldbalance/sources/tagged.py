@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -34,12 +35,22 @@ def read_tagged(spark: SparkSession, folder: str, schema: T.StructType,
                 **options: str) -> DataFrame:
     """Rows of the files that exist for the asked crops and sensors.
 
-    Asked combinations without a file give no rows. With ``one_folder_each`` the
+    Only files whose name carries an asked crop and sensor are listed and read;
+    asked combinations without a file give no rows. With ``one_folder_each`` the
     tags name folders of part files instead of single files.
     """
-    rows = (spark.read.format(fmt).schema(schema).options(**options)
-            .option("recursiveFileLookup", "true").load(folder))
-    tagged = rows.select(
+    stem = f"*_{{{','.join(crops)}}}_{{{','.join(sensors)}}}"
+    reader = spark.read.format(fmt).schema(schema).options(**options)
+    reader = reader.option("recursiveFileLookup", "true")
+    try:
+        rows = (reader.load(f"{folder}/{stem}") if one_folder_each
+                else reader.option("pathGlobFilter", f"{stem}.*").load(folder))
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], T.StructType(
+            [*(T.StructField(c, T.StringType()) for c in ("site_id", "crop", "sensor")),
+             *schema.fields]))
+    return rows.select(
         _tag(1, one_folder_each).alias("site_id"), _tag(2, one_folder_each).alias("crop"),
         _tag(3, one_folder_each).alias("sensor"), *schema.fieldNames())
-    return tagged.filter(F.col("crop").isin(*crops) & F.col("sensor").isin(*sensors))

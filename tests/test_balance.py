@@ -170,3 +170,22 @@ def test_missing_states_come_back_as_null(spark):
     rows = water_balance(gap, starts).filter("irrigation = 1")
     assert rows.filter("wt is null").count() == 2 * 3
     assert rows.filter(F.isnan("wt")).count() == 0
+
+
+def test_executors_need_no_copy_of_the_package(tmp_path):
+    """A driver that finds the package elsewhere than its working folder."""
+    import os
+    import subprocess
+    import sys
+    repo = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    code = f"""
+import sys; sys.path.insert(0, {repo!r})
+import __spark_entry__ as contract
+from fieldbalance.session import local_session
+spark = local_session(2, 2)
+print("rows", contract.queries()["water_balance"](spark, "/root/testdata/sf0.001").count())
+"""
+    env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    done = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, env=env, text=True,
+                          capture_output=True, timeout=300)
+    assert "rows" in done.stdout, done.stderr[-2000:]

@@ -72,6 +72,10 @@ def test_tagged_files(spark, tmp_path):
                              ["Greenseeker"], fmt="csv")
     assert sorted(map(tuple, got.collect())) == [
         ("A", "Onion", "Greenseeker", 2), ("B", "Wheat", "Greenseeker", 3)]
+    for folders in (False, True):
+        none = tagged.read_tagged(spark, str(tmp_path), schema, ["Broccoli"], ["Sunscan"],
+                                  fmt="csv", one_folder_each=folders)
+        assert none.columns == ["site_id", "crop", "sensor", "x"] and none.count() == 0
 
 
 def test_publish_replaces(spark):
