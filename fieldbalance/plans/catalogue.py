@@ -86,14 +86,15 @@ def _kept(spark, sf):
     return soil.drop_flagged(_long(spark, sf), soil.flagged_cells(_flags(spark, sf)))
 
 
-def _layers(spark, sf):
-    return soil.order_layers(soil.layer_mean(_kept(spark, sf)), LAYER_COLUMNS)
-
-
 def _means(spark, sf):
     return soil_sheet.sheet_means(_soil(spark, sf), _flags(spark, sf))
 
 
+def _layers(spark, sf):
+    """The long layer table, melted after the means instead of before."""
+    return soil_sheet.layers_from_means(_means(spark, sf))
+
+
 def _depths(spark, sf):
     return soil_sheet.multi_depth_from_means(_means(spark, sf))
 
@@ -400,7 +401,7 @@ def layer_mean(spark, sf):
 
 @query(f"SELECT {_PROFILE}, layer, {_r('sw')} FROM v_layers")
 def layer_order(spark, sf):
-    return _rounded(_layers(spark, sf))
+    return _rounded(soil.order_layers(soil.layer_mean(_kept(spark, sf)), LAYER_COLUMNS))
 
 
 @query("""
@@ -634,7 +635,7 @@ def daily_inputs(spark, sf):
 
 @query(f"SELECT {_TREATMENT}, {_r('wt0', 'ws0', 'awhc', 'awhcs')} FROM v_inputs")
 def balance_inputs(spark, sf):
-    return _rounded(soil.balance_inputs(_layers(spark, sf)))
+    return _rounded(_inputs(spark, sf))
 
 
 @query(f"SELECT {_TREATMENT}, date, {_r(*_STATE_COLUMNS)} FROM v_states")

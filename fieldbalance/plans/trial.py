@@ -44,8 +44,21 @@ CROPS = ["Onion", "Onions", "Wheat", "Broccoli", "Potato"]
 SENSORS = ["Sunscan", "Greenseeker"]
 
 
+# Declared, so that opening a table starts no job to look into its files.
+TABLES = {
+    "lineitem": "l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, "
+                "l_quantity double, l_extendedprice double, l_discount double, l_tax double, "
+                "l_returnflag string, l_linestatus string, l_shipdate timestamp_ntz",
+    "orders": "o_orderkey long, o_custkey long, o_orderstatus string, o_totalprice double, "
+              "o_orderdate timestamp_ntz, o_orderpriority string",
+    "events": "event_id long, ts timestamp_ntz, user_id long, event_type string, value double, "
+              "props string",
+    "supplier": "s_suppkey long, s_name string, s_nationkey int, s_acctbal double",
+}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spread(spark.read.parquet(f"{sf_dir}/{name}.parquet"))
+    return spread(spark.read.schema(TABLES[name]).parquet(f"{sf_dir}/{name}.parquet"))
 
 
 def _site(key: str, per_site: int) -> Column:
