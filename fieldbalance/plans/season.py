@@ -25,12 +25,21 @@ class SeasonTables:
     growth_events: DataFrame
 
 
-def season(tables: SeasonTables, top_depth: int = 3, use_corrected_pet: bool = False,
-           reset_to_measured: bool = False, missing_rain: str = "missing") -> dict[str, DataFrame]:
-    """Named result tables. Only those that are written or read are computed."""
-    means = soil_sheet.sheet_means(
+def soil_means(tables: SeasonTables) -> DataFrame:
+    """Mean water of every layer per treatment and day, the base of all soil results."""
+    return soil_sheet.sheet_means(
         with_local_date(tables.soil).dropna(subset=["crop", "date"]),
         with_local_date(tables.flags))
+
+
+def season(tables: SeasonTables, top_depth: int = 3, use_corrected_pet: bool = False,
+           reset_to_measured: bool = False, missing_rain: str = "missing",
+           means: DataFrame | None = None) -> dict[str, DataFrame]:
+    """Named result tables. Only those that are written or read are computed.
+
+    ``means`` may be a stored ``soil_means`` table.
+    """
+    means = soil_means(tables) if means is None else means
     summary = canopy.canopy_summary(tables.canopy)
     stages = canopy.growth_stage_merge(canopy.growth_event_parse(tables.growth_events),
                                        canopy.full_cover_date(summary))
@@ -59,16 +68,20 @@ def season(tables: SeasonTables, top_depth: int = 3, use_corrected_pet: bool = F
 
 
 def publish_season(tables: SeasonTables, path: str, **options) -> None:
-    """Write balance, depths and both published tables below a shared path.
+    """Write layer means, balance, depths and both published tables below a shared path.
 
-    The balance and the depths are written first and read back, so the days are
-    walked once and a lost executor does not start the walk again.
+    What later tables build on is written first and read back: the readings are
+    scanned once, the days are walked once, and a lost executor starts neither
+    again.
     """
     spark = tables.soil.sparkSession
-    results = season(tables, **options)
-    for name in ("balance", "profile_depths"):
-        publish(results[name], f"{path}/{name}")
-    states = read_published(spark, f"{path}/balance")
-    depths = read_published(spark, f"{path}/profile_depths")
+
+    def stored(df: DataFrame, name: str) -> DataFrame:
+        publish(df, f"{path}/{name}")
+        return read_published(spark, f"{path}/{name}")
+
+    results = season(tables, **options, means=stored(soil_means(tables), "means"))
+    states = stored(results["balance"], "balance")
+    depths = stored(results["profile_depths"], "profile_depths")
     for level in (1, 2):
         publish(report.publish_wide(states, depths, level), f"{path}/published_{level}")
