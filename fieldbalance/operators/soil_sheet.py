@@ -37,12 +37,15 @@ def sheet_means(soil: DataFrame, flags: DataFrame | None = None,
         rows = rows.withColumn("_bad", F.lit(0))
     else:
         mark = " + ".join(f"if(`{name}` = 1, {b}, 0)" for name, b in bit.items())
+        # A missing plot matches a missing plot. Grouping by the very columns the
+        # join compares lets the marks go into it as they are partitioned.
+        plot, no_plot = F.coalesce("plot", F.lit("")), F.col("plot").isNull()
         marks = flags.groupBy(F.col("site_id").alias("_site"), F.col("date").alias("_date"),
-                              F.col("plot").alias("_plot")).agg(
+                              plot.alias("_plot"), no_plot.alias("_no_plot")).agg(
             F.expr(f"bit_or({mark})").alias("_bad"))
-        rows = rows.join(marks, (rows["site_id"] == marks["_site"])
-                         & (rows["date"] == marks["_date"])
-                         & rows["plot"].eqNullSafe(marks["_plot"]), "left")
+        rows = rows.join(marks, (F.col("site_id") == F.col("_site"))
+                         & (F.col("date") == F.col("_date"))
+                         & (plot == F.col("_plot")) & (no_plot == F.col("_no_plot")), "left")
         rows = rows.withColumn("_bad", F.coalesce("_bad", F.lit(0)))
     return rows.groupBy(*PROFILE_KEYS).agg(
         F.expr(f"bit_or({sum(bit.values())} & ~_bad)").alias("seen"),
