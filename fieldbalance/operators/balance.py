@@ -20,6 +20,7 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 # Fixed value of the readily-available-water term.
 RAW_FACTOR = 0.0073
 
+_TREATMENT_COLUMNS = ["irrigation", "n_rate", "wt0", "ws0", "awhc", "awhcs"]
 STATES = ["ws", "es", "wt", "raw", "ex", "aet", "drainage"]
 
 
@@ -98,25 +99,32 @@ def _site_runner(level_columns: dict[int, str],
             return out_schema.empty_table()
         daily = daily.sort_by("date")
         day = daily["date"].cast(pa.int32()).to_numpy()
+        site = daily["site_id"][0].as_py()
         if (np.diff(day) == 0).any():
-            site = daily["site_id"][0].as_py()
             raise ValueError(f"site {site} has two daily rows for one date")
         pet = _floats(daily["pet"])
         rain = {k: _floats(daily[c]) for k, c in level_columns.items()}
         shared = [daily[c] for c in ("site_id", "date", "pet")]
-        measured: dict[tuple, list[tuple]] = {}
-        for row in treatments.to_pylist():
-            key = tuple(row[c] for c in ("irrigation", "n_rate", "wt0", "ws0", "awhc", "awhcs"))
-            measured.setdefault(key, []).append((row["reset_date"], row["swd"]))
+        resets: dict[tuple, dict[int, float]] = {}
+        columns = [treatments[c].to_pylist() for c in _TREATMENT_COLUMNS]
+        reset_days = treatments["reset_date"].cast(pa.int32()).to_pylist()
+        for *key, d, v in zip(*columns, reset_days, treatments["swd"].to_pylist()):
+            found = resets.setdefault(tuple(key), {})
+            if d in found:
+                raise ValueError(f"site {site} has two measured deficits for one date")
+            if d is not None:
+                found[d] = nan if v is None else v
         tables = []
-        for (irrigation, n_rate, *start), resets in measured.items():
+        for (irrigation, n_rate, *start), found in resets.items():
             if irrigation not in level_columns:
                 raise ValueError(f"no precipitation column for irrigation {irrigation}")
-            resets = {d: s for d, s in resets if d is not None}
             swd = None
-            if resets:
-                swd = np.array([nan if (s := resets.get(d)) is None else s
-                                for d in daily["date"].to_pylist()])
+            if found:
+                swd = np.full(len(day), nan)
+                at = np.searchsorted(day, list(found))
+                values = np.array(list(found.values()))
+                hit = (at < len(day)) & (day[np.minimum(at, len(day) - 1)] == list(found))
+                swd[at[hit]] = values[hit]
             start = [nan if v is None else v for v in start]
             states = two_store_series(pet, rain[irrigation], *start, measured=swd)
             n = len(pet)

@@ -153,6 +153,22 @@ def test_two_rows_for_one_day_raise(spark):
         water_balance(daily.union(daily.limit(1)), starts).collect()
 
 
+def test_two_measured_deficits_for_one_day_raise(spark):
+    daily, starts, resets, _ = make(spark, sites=1)
+    with pytest.raises(PythonException, match="two measured"):
+        water_balance(daily, starts, resets.union(resets.limit(1))).collect()
+
+
+def test_measured_day_without_weather_is_ignored(spark):
+    daily, starts, resets, _ = make(spark, sites=1, days=10)
+    far = resets.limit(0).union(starts.select(
+        "site_id", "irrigation", "n_rate", F.lit(dt.date(1999, 1, 1)), F.lit(-1.0)))
+    later = far.withColumn("date", F.lit(dt.date(2030, 1, 1)))
+    plain = water_balance(daily, starts).select("irrigation", "n_rate", "date", "wt")
+    with_far = water_balance(daily, starts, far.union(later)).select(plain.columns)
+    assert plain.exceptAll(with_far).count() == 0
+
+
 def test_bad_arguments(spark):
     daily, starts, resets, _ = make(spark, sites=1)
     with pytest.raises(ValueError, match="precipitation"):
