@@ -247,7 +247,7 @@ def multi_file_tagged_scan(spark, sf):
     path = new_shared_path(spark, "canopy-files")
     rows = trial.canopy_sheet(spark, sf)
     (rows.withColumn("file", F.concat_ws("_", "site_id", "crop", "sensor"))
-     .drop("site_id", "crop", "sensor").repartition("file")
+     .drop("site_id", "crop", "sensor").hint("rebalance", "file")
      .write.partitionBy("file").parquet(path))
     inner = T.StructType([f for f in CANOPY_SHEET.fields
                           if f.name not in ("site_id", "crop", "sensor")])
