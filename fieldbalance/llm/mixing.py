@@ -47,14 +47,16 @@ def fit(lengths: list[int], counts: list[int], budget: int, knapsack_words: int)
         take[i], used = n, used + n * lengths[i]
     rest = budget - used
     reached, step, steps = 1, {0: None}, []
-    mask = (1 << (rest + 1)) - 1
+    # A sum somewhat over the budget may be nearer than any below it.
+    most = rest + max((lengths[i] for i in order), default=0)
+    mask = (1 << (most + 1)) - 1
     for i in order:
         free, size = counts[i] - take[i], 1
         while free > 0 and not (reached >> rest) & 1:
             n = min(size, free)
             weight = n * lengths[i]
             free, size = free - n, size * 2
-            if weight > rest:
+            if weight > most:
                 break
             new = (reached << weight) & mask & ~reached
             if new:
@@ -65,7 +67,7 @@ def fit(lengths: list[int], counts: list[int], budget: int, knapsack_words: int)
                 while at >= 0:
                     step[at] = len(steps) - 1
                     at = bits.find("1", at + 1)
-    at = max(step)
+    at = min(step, key=lambda v: (abs(v - rest), v))
     while step[at] is not None:
         i, n, weight = steps[step[at]]
         take[i] += n
@@ -95,15 +97,18 @@ def mix(docs: DataFrame, weights=WEIGHTS, share: float = 1.5, most: int = 2, see
     goal = targets(sizes, {s: weights[i % len(weights)] for i, s in enumerate(names)}, share, most)
 
     def plan(frame):
+        import numpy as np
         import pandas as pd
         source = frame["source"].iloc[0]
         source = None if pd.isna(source) else source
         frame = frame.sort_values("size")
         words, budget = sizes[source], round(goal[source])
-        whole = min(most, budget // words) if words else 0
-        take = fit(frame["size"].tolist(), frame["n"].tolist(), budget - whole * words, knapsack_words)
+        n = frame["n"].to_numpy()
+        take = np.array(fit(frame["size"].tolist(), (n * most).tolist(), budget, knapsack_words))
+        # Empty texts cost nothing: as often as the source as a whole.
+        take = np.where(frame["size"] == 0, n * (min(most, budget // words) if words else 1), take)
         return pd.DataFrame({"source": [source] * len(frame), "size": frame["size"],
-                             "source_size": words, "target": goal[source], "whole": whole, "extra": take})
+                             "source_size": words, "target": goal[source], "whole": take // n, "extra": take % n})
 
     planned = (by_length.groupBy("source", "size").agg(F.sum("n").alias("n")).groupBy("source")
                .applyInPandas(plan, "source string, size long, source_size long, target double, whole long, extra long"))

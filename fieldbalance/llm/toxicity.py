@@ -11,6 +11,8 @@ from fieldbalance.llm.common import LOWER, table, words_of
 
 #: Labelled documents the model is fitted on; more are left out by a hash of their id.
 TRAINING_ROWS = 4000
+#: Letters of the word beginnings that stand for words with other endings.
+STEMS = (5, 7)
 _stop = re.compile(r"[^.!?\n]+")
 _edge = ".,;:!?\"'()[]{}<>*#%&$"
 
@@ -21,11 +23,13 @@ def sentences(text: str | None) -> list[tuple[int, int]]:
 
 
 def features(sentence: str) -> set[str]:
-    return {w for w in (w.strip(_edge) for w in words_of(sentence.translate(LOWER))) if w}
+    """Words in lower case, edge punctuation off, and their stems of 5 and 7 letters."""
+    words = {w for w in (w.strip(_edge) for w in words_of(sentence.translate(LOWER))) if w}
+    return words | {w[:n] + "*" for n in STEMS for w in words if len(w) > n}
 
 
 def fit(texts: list[str], labels: list[int], epochs: int = 150, rate: float = 0.3,
-        l2: float = 2e-5, least_docs: int = 2) -> dict:
+        l2: float = 2e-5, least_docs: int = 4) -> dict:
     """Word weights, bias and leak that make the noisy-or of sentences fit the labels."""
     import numpy as np
     seen: dict[str, int] = {}
