@@ -129,7 +129,7 @@ def test_decontaminate_edges(spark, odd_docs):
 
 
 def test_toxicity_held_out(spark):
-    sf_dir = "/root/testdata/sf0.01"
+    sf_dir = "/root/testdata/sf0.1"  # the small tables hold out six toxic documents only
     got = {r.doc_id: r for r in toxicity.op4_toxicity(spark, sf_dir).collect()}
     labels = rows(sf_dir, "labels")
     held = [(int(t), got[d].predicted) for d, t in zip(labels.doc_id, labels.toxic) if got[d].held_out]
