@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 import zlib
 
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -31,14 +32,17 @@ def write_tokens(docs: DataFrame, path: str, vocabulary: str, encoding: str = "d
         import numpy as np
         import pandas as pd
         from tokenizers import Tokenizer
+        # Spark's tasks are the threads; more would only hold more memory.
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
         tokenizer = Tokenizer.from_file(vocabulary)
         for batch in batches:
             texts = [t if t is not None else "" for t in batch["text"]]
-            ids = []
-            for start in range(0, len(texts), 64):
-                ids += [np.array(e.ids + [end], np.int32)
-                        for e in tokenizer.encode_batch_fast(texts[start:start + 64], add_special_tokens=False)]
-            yield pd.DataFrame({"doc_id": batch["doc_id"], "n_tokens": [len(i) for i in ids], "ids": ids})
+            # A few texts at a time: an encoding takes far more memory than its ids.
+            for start in range(0, len(texts), 16):
+                ids = [np.array(e.ids + [end], np.int32)
+                       for e in tokenizer.encode_batch_fast(texts[start:start + 16], add_special_tokens=False)]
+                yield pd.DataFrame({"doc_id": batch["doc_id"].iloc[start:start + 16].to_numpy(),
+                                    "n_tokens": [len(i) for i in ids], "ids": ids})
 
     spark = docs.sparkSession
     wanted = docs.select("doc_id", "text")
