@@ -40,14 +40,31 @@ def tasks(df: DataFrame) -> DataFrame:
     return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
 
 
-def word_hashes(words: list[str]):
-    """64-bit hashes of words; each distinct word is hashed once."""
+class _Hashes(dict):
+    """64-bit hashes of words, each computed once while it is held."""
+
+    def __missing__(self, word: bytes) -> int:
+        from hashlib import blake2b
+        if len(self) >= 200_000:  # forgets; a hash is then computed again
+            self.clear()
+        value = self[word] = int.from_bytes(blake2b(word, digest_size=8).digest(), "little")
+        return value
+
+
+_hashes = _Hashes()
+
+
+def byte_words(text: str | None, lower: bool = False) -> list[bytes]:
+    """The words of a text in UTF-8; bytes split and fold at ASCII only, as WORD and LOWER do."""
+    if not text:
+        return []
+    data = text.encode("utf-8", "surrogatepass")
+    return (data.lower() if lower else data).split()
+
+
+def word_hashes(words: list[bytes]):
     import numpy as np
-    import pandas as pd
-    if not words:
-        return np.zeros(0, np.uint64)
-    codes, distinct = pd.factorize(np.array(words, dtype=object))
-    return pd.util.hash_array(distinct.astype(object), categorize=False)[codes]
+    return np.fromiter(map(_hashes.__getitem__, words), np.uint64, len(words))
 
 
 def shingle_hashes(hashes, n: int):

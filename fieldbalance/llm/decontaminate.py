@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fieldbalance.llm.common import LOWER, shingle_hashes, table, word_hashes, words_of
+from fieldbalance.llm.common import byte_words, shingle_hashes, table, word_hashes
 
 WORDS = 5
 THRESHOLD = 0.8
@@ -16,8 +16,7 @@ SMALLEST = 8
 
 
 def _shingles(text: str | None, n: int):
-    words = words_of(text.translate(LOWER) if text else text)
-    return shingle_hashes(word_hashes(words), n)
+    return shingle_hashes(word_hashes(byte_words(text, lower=True)), n)
 
 
 def _constants(count: int):
@@ -40,7 +39,7 @@ class Items:
         self.sets = {}
         self.classes: dict[int, list[dict]] = {}
         for item_id, text in rows:
-            if len(words_of(text)) < n:
+            if len(byte_words(text)) < n:
                 continue
             shingles = np.unique(_shingles(text, n))
             size = SMALLEST
@@ -50,8 +49,21 @@ class Items:
             tables = self.classes.setdefault(size, [{} for _ in self.odd])
             for i, odd in enumerate(self.odd):
                 tables[i].setdefault(int(_hashed(shingles, odd).min()), []).append(item_id)
+        held = np.unique(np.concatenate([*self.sets.values(), np.zeros(0, np.uint64)]))
+        self.mask = np.uint64((1 << max(16, int(16 * len(held)).bit_length())) - 1)
+        self.known, self.marks = held, np.zeros(int(self.mask) + 1, bool)
+        self.marks[held & self.mask] = True
         self.keys = {size: [np.array(sorted(t), np.uint64) for t in tables] for size, tables in self.classes.items()}
 
+    def touches(self, shingles) -> bool:
+        """Whether any shingle is one of an item's; without one no MinHash value can agree."""
+        import numpy as np
+        near = shingles[self.marks[shingles & self.mask]]
+        if not len(near):
+            return False
+        at = np.minimum(np.searchsorted(self.known, near), len(self.known) - 1)
+        return bool((self.known[at] == near).any())
+
     def candidates(self, shingles) -> set:
         """Items that share a MinHash value with a window of their size class.
 
@@ -60,7 +72,7 @@ class Items:
         """
         import numpy as np
         found = set()
-        if not len(shingles) or not self.classes:
+        if not self.classes or not self.touches(shingles):
             return found
         largest = max(self.classes)
         for i, odd in enumerate(self.odd):

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fieldbalance.llm.common import shingle_hashes, stored, table, tasks, word_hashes, words_of
+from fieldbalance.llm.common import byte_words, shingle_hashes, stored, table, tasks, word_hashes
 
 WINDOW = 35
 #: Words of the k-gram that decides the shard of a window.
@@ -123,7 +123,7 @@ def repeats(rows: DataFrame, window: int = WINDOW, anchor: int = ANCHOR, hot: in
         for batch in batches:
             out = []
             for row, text in zip(batch["row"], batch["text"]):
-                at, start, n, grams = anchors(word_hashes(words_of(text)), window, anchor)
+                at, start, n, grams = anchors(word_hashes(byte_words(text)), window, anchor)
                 if len(at):
                     out.append(pd.DataFrame({"row": row, "anchor": grams[at].view(np.int64),
                                              "start": start.astype(np.int32), "n": n.astype(np.int32)}))
@@ -142,7 +142,7 @@ def repeats(rows: DataFrame, window: int = WINDOW, anchor: int = ANCHOR, hot: in
         for batch in batches:
             out = []
             for row, text, segments in zip(batch["row"], batch["text"], batch["segments"]):
-                hashes = word_hashes(words_of(text)).view("int64")
+                hashes = word_hashes(byte_words(text)).view("int64")
                 for s in segments:
                     words = hashes[s["start"]:s["start"] + s["n"] + window - 1]
                     digest = _digest(words)
@@ -219,7 +219,7 @@ def dedup(docs: DataFrame, window: int = WINDOW, **settings) -> DataFrame:
         for batch in batches:
             out = []
             for doc_id, text, starts in zip(batch["doc_id"], batch["text"], batch["starts"]):
-                words = words_of(text)
+                words = byte_words(text)
                 edge = np.zeros(len(words) + 1, np.int64)
                 if starts is not None and len(starts):
                     starts = np.asarray(starts)
@@ -227,7 +227,7 @@ def dedup(docs: DataFrame, window: int = WINDOW, **settings) -> DataFrame:
                     np.add.at(edge, starts + window, -1)
                 gone = np.cumsum(edge)[:-1] > 0
                 turn = np.flatnonzero(np.diff(np.concatenate([[False], gone, [False]]).astype(np.int8)))
-                out.append((doc_id, len(words), int(gone.sum()), " ".join(w for w, g in zip(words, gone) if not g),
+                out.append((doc_id, len(words), int(gone.sum()), b" ".join(w for w, g in zip(words, gone) if not g).decode("utf-8", "surrogatepass"),
                             [{"start": int(a), "end": int(b)} for a, b in turn.reshape(-1, 2)]))
             yield pd.DataFrame(out, columns=["doc_id", "n_words", "n_removed", "text", "spans"])
 
