@@ -78,13 +78,16 @@ def exact_groups(docs: DataFrame, id_column: str = "doc_id", text: str = "text",
                            F.col("doc.id").alias("id"), F.col("row").alias("row")))
     groups = (final.where("full IS NOT NULL").groupBy(F.col("full").alias("same"))
               .agg(F.count("*").alias("n"), first.alias("first")).where("n > 1"))
-    found = final.join(groups, final["full"] == groups["same"], "left")
+    def answer(rows: DataFrame, keep_id: Column, size: Column, kept: Column) -> DataFrame:
+        return rows.select(F.col("doc.id").alias(id_column), *[F.col(f"doc.c{i}").alias(c) for i, c in enumerate(carry)],
+                           keep_id.alias("keep_id"), size.cast("long").alias("group_size"), kept.alias("kept"))
+
+    # Rows without a hash are alone; they need no join, in which they would be one hot key.
+    alone = answer(final.where("full IS NULL"), F.col("doc.id"), F.lit(1), F.lit(True))
     own = F.col("n").isNull()
-    return found.select(
-        F.col("doc.id").alias(id_column), *[F.col(f"doc.c{i}").alias(c) for i, c in enumerate(carry)],
-        F.when(own, F.col("doc.id")).otherwise(F.col("first.id")).alias("keep_id"),
-        F.coalesce("n", F.lit(1)).cast("long").alias("group_size"),
-        (own | (F.col("row") == F.col("first.row"))).alias("kept"))
+    shared = final.where("full IS NOT NULL").join(groups, F.col("full") == F.col("same"), "left")
+    return alone.unionByName(answer(shared, F.when(own, F.col("doc.id")).otherwise(F.col("first.id")),
+                                    F.coalesce("n", F.lit(1)), own | (F.col("row") == F.col("first.row"))))
 
 
 def deduplicated(docs: DataFrame, id_column: str = "doc_id", text: str = "text") -> DataFrame:
