@@ -25,9 +25,17 @@ def strict_greatest(*cols: Column | str) -> Column:
     return _strict(F.greatest, cols)
 
 
+# A number as sheets write it: no word such as NaN, no type letter after the digits.
+NUMBER = r"^\s*[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?\s*$"
+
+
 def to_number(col: Column | str) -> Column:
-    """Text to double; text that is not a number becomes missing."""
-    return (F.col(col) if isinstance(col, str) else col).try_cast("double")
+    """Text to double; text that is not a number becomes missing.
+
+    The cast alone would take ``NaN`` and ``Infinity`` for numbers, and ``12d`` for 12.
+    """
+    text = F.col(col) if isinstance(col, str) else col
+    return F.when(text.rlike(NUMBER), text.try_cast("double"))
 
 
 def filled(col: Column | str, default) -> Column:

@@ -105,25 +105,20 @@ def _site_runner(level_columns: dict[int, str],
         pet = _floats(daily["pet"])
         rain = {k: _floats(daily[c]) for k, c in level_columns.items()}
         shared = [daily[c] for c in ("site_id", "date", "pet")]
-        resets: dict[tuple, dict[int, float]] = {}
         columns = [treatments[c].to_pylist() for c in _TREATMENT_COLUMNS]
-        reset_days = treatments["reset_date"].cast(pa.int32()).to_pylist()
-        for *key, d, v in zip(*columns, reset_days, treatments["swd"].to_pylist()):
-            found = resets.setdefault(tuple(key), {})
-            if d in found:
-                raise ValueError(f"site {site} has two measured deficits for one date")
-            if d is not None:
-                found[d] = nan if v is None else v
         tables = []
-        for (irrigation, n_rate, *start), found in resets.items():
+        for i, (irrigation, n_rate, *start) in enumerate(zip(*columns)):
             if irrigation not in level_columns:
                 raise ValueError(f"no precipitation column for irrigation {irrigation}")
-            swd = None
-            if found:
+            swd, found = None, treatments["measured"][i].values
+            if found is not None and len(found):
                 swd = np.full(len(day), nan)
-                at = np.searchsorted(day, list(found))
-                values = np.array(list(found.values()))
-                hit = (at < len(day)) & (day[np.minimum(at, len(day) - 1)] == list(found))
+                when = found.field("date").cast(pa.int32()).to_numpy(zero_copy_only=False)
+                if (np.diff(when) == 0).any():
+                    raise ValueError(f"site {site} has two measured deficits for one date")
+                values = found.field("swd").to_numpy(zero_copy_only=False).astype(float)
+                at = np.searchsorted(day, when)
+                hit = (at < len(day)) & (day[np.minimum(at, len(day) - 1)] == when)
                 swd[at[hit]] = values[hit]
             start = [nan if v is None else v for v in start]
             states = two_store_series(pet, rain[irrigation], *start, measured=swd)
@@ -147,8 +142,27 @@ _OUT_DDL = ("site_id string, irrigation int, n_rate string, date date, pet doubl
             "precipitation double, swd double, " + ", ".join(f"{s} double" for s in STATES))
 
 
+def nested_resets(reset: DataFrame, same_day: str = "raise") -> DataFrame:
+    """Measured deficits as one array (date, swd) per treatment, in date order.
+
+    A treatment may be measured twice on one day, under two crops. ``same_day`` says what
+    counts then: "raise" (both stay, and the walk raises), "driest" (the larger
+    deficit) or "mean" (of the values that are there). With one value a day an array
+    is bounded by the calendar.
+    """
+    keys = ["site_id", "irrigation", "n_rate"]
+    one = {"driest": F.min, "mean": F.avg}
+    days = reset.filter(F.col("date").isNotNull()).withColumn("swd", F.col("swd").cast("double"))
+    if same_day in one:
+        days = days.groupBy(*keys, "date").agg(one[same_day]("swd").alias("swd"))
+    elif same_day != "raise":
+        raise ValueError("same_day is 'raise', 'driest' or 'mean'")
+    return days.groupBy(*keys).agg(
+        F.sort_array(F.collect_list(F.struct("date", "swd"))).alias("measured"))
+
+
 def water_balance(daily: DataFrame, treatments: DataFrame, reset: DataFrame | None = None,
-                  pet_col: str = "pet") -> DataFrame:
+                  pet_col: str = "pet", same_day: str = "raise") -> DataFrame:
     """Daily states of every treatment of every site.
 
     Each day depends on the day before, so a site's days are walked in order;
@@ -159,8 +173,10 @@ def water_balance(daily: DataFrame, treatments: DataFrame, reset: DataFrame | No
 
     ``daily`` has a ``precipitation_<level>`` column per irrigation level,
     ``treatments`` is made by ``balance_inputs``. ``reset`` optionally holds
-    measured deficits (site_id, irrigation, n_rate, date, swd). The raw PET
-    enters unless ``pet_col`` names another column.
+    measured deficits (site_id, irrigation, n_rate, date, swd); they travel as one
+    array per treatment, so its parameters go to Python once, and ``same_day`` says
+    what two of one day mean (see ``nested_resets``). The raw PET enters unless
+    ``pet_col`` names another column.
     """
     levels = {int(m.group(1)): c for c in daily.columns
               if (m := re.fullmatch(r"precipitation_(\d+)", c))}
@@ -171,14 +187,11 @@ def water_balance(daily: DataFrame, treatments: DataFrame, reset: DataFrame | No
     starts = treatments.select("site_id", F.col("irrigation").cast("int").alias("irrigation"),
                                "n_rate", "wt0", "ws0", "awhc", "awhcs")
     if reset is None:
-        starts = starts.withColumns({"reset_date": F.lit(None).cast("date"),
-                                     "swd": F.lit(None).cast("double")})
+        starts = starts.withColumn("measured", F.lit(None).cast("array<struct<date:date,swd:double>>"))
     elif "swd" not in reset.columns:
         raise ValueError("a reset table needs the measured deficit in column swd")
     else:
-        measured = reset.select("site_id", "irrigation", "n_rate",
-                                F.col("date").alias("reset_date"), "swd")
-        starts = starts.join(measured, ["site_id", "irrigation", "n_rate"], "left")
+        starts = starts.join(nested_resets(reset, same_day), ["site_id", "irrigation", "n_rate"], "left")
     states = (days.groupBy("site_id").cogroup(starts.groupBy("site_id"))
               .applyInArrow(_site_runner(levels, _OUT), _OUT_DDL))
     return states if reset is not None else states.drop("swd")

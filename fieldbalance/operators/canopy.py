@@ -13,8 +13,13 @@ BARE_COEFFICIENT, COVERED_COEFFICIENT = 0.15, 1.0
 CLOSURE = "canopy-closure"
 
 
-def canopy_summary(canopy: DataFrame) -> DataFrame:
-    """Mean and spread of the canopy index per day and treatment."""
+def canopy_summary(canopy: DataFrame, sensor: str | None = None) -> DataFrame:
+    """Mean and spread of the canopy index per day and treatment, of one sensor if named.
+
+    Sensors read differently; full cover and stages are to come from one of them.
+    """
+    if sensor is not None:
+        canopy = canopy.filter(F.col("sensor") == sensor)
     return (canopy.filter(F.col("irrigation").isNotNull())
             .groupBy("site_id", "crop", "sensor", "date",
                      F.col("irrigation").cast("string").alias("irrigation"),

@@ -13,6 +13,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from fieldbalance.functions.nulls import to_number
 from fieldbalance.operators.soil import (FULL_DEPTH, MM_PER_PERCENT, PROFILE_KEYS,
                                          REPORTED_DEPTHS, TREATMENT, _depth_rows,
                                          _treatment_inputs, layer_numbers, with_deficit)
@@ -28,11 +29,11 @@ def sheet_means(soil: DataFrame, flags: DataFrame | None = None,
     would triple the aggregates and make the generated code too long to compile.
     """
     numbers = layer_numbers(layer_columns)
-    if len(numbers) > 30:
-        raise ValueError("at most 30 layers fit the mask")
+    if len(numbers) > 62:
+        raise ValueError("at most 62 layers fit the mask")
     bit = {name: 1 << (k - 1) for name, k in numbers.items()}
     # Numbers before the join: they are half as wide as their text.
-    rows = soil.withColumns({name: F.expr(f"try_cast(`{name}` AS double)") for name in numbers})
+    rows = soil.withColumns({name: to_number(f"`{name}`") for name in numbers})
     if flags is None:
         rows = rows.withColumn("_bad", F.lit(0))
     else:
@@ -53,8 +54,13 @@ def sheet_means(soil: DataFrame, flags: DataFrame | None = None,
           .alias(f"sw_{k}") for name, k in numbers.items()])
 
 
-def _layer_range(means: DataFrame, depth: int) -> list[int]:
+def _layer_range(means: DataFrame, depth: int | None = None) -> list[int]:
+    """Layers down to a depth, which the sheet must reach; all of them without one."""
     held = sorted(int(c[3:]) for c in means.columns if c.startswith("sw_"))
+    if depth is None:
+        return held
+    if depth not in held:
+        raise ValueError(f"a profile of {depth} layers, but the sheet has {len(held)}")
     return [k for k in held if k <= depth]
 
 
@@ -70,7 +76,7 @@ def layers_from_means(means: DataFrame) -> DataFrame:
     rows = F.inline(F.array(*[
         F.struct(F.lit(k).alias("layer"), F.col(f"sw_{k}").alias("sw"),
                  F.expr(f"seen & {1 << (k - 1)} > 0").alias("seen"))
-        for k in _layer_range(means, FULL_DEPTH)]))
+        for k in _layer_range(means)]))
     return means.select(*PROFILE_KEYS, rows).filter("seen").drop("seen")
 
 

@@ -33,22 +33,30 @@ def weather_irrigation_join(weather: DataFrame, irrigation: DataFrame) -> DataFr
 def pivot_irrigation(joined: DataFrame, levels: Sequence[str] = LEVELS) -> DataFrame:
     """One row per day again, one column per irrigation level."""
     return cast_wide(joined, ["site_id", "date", "pet", "rain", "crop"], "treatment",
-                     levels, {"irrigation": ""})
+                     levels, {"irrigation": ""}, others="raise")
 
 
 def fill_zero(df: DataFrame, cols: Sequence[str] = LEVELS) -> DataFrame:
     return df.withColumns({c: filled(c, 0.0) for c in cols})
 
 
-def daily_inputs(weather: DataFrame, diary: DataFrame, levels: Sequence[str] = LEVELS,
+def diary_levels(diary: DataFrame) -> list[str]:
+    """The irrigation columns of a diary, by level."""
+    return sorted((c for c in diary.columns if re.fullmatch(r"irrigation_\d+", c)),
+                  key=lambda c: int(c.split("_")[1]))
+
+
+def daily_inputs(weather: DataFrame, diary: DataFrame, levels: Sequence[str] | None = None,
                  seed_crop: str = "Potato", missing_rain: str = "missing") -> DataFrame:
     """Precipitation of every irrigation level and the crop in the ground, by day.
 
     The diary already has one column per level, so it joins as it is; melting
     and casting it back would add a shuffle for the same table. With
     ``missing_rain="zero"`` a day without a rain record counts as dry instead of
-    leaving its precipitation missing.
+    leaving its precipitation missing. Without ``levels`` every irrigation column
+    of the diary is one.
     """
+    levels = diary_levels(diary) if levels is None else levels
     joined = weather.join(diary.select("site_id", "date", "crop", *levels),
                           ["site_id", "date"], "left")
     if missing_rain == "zero":

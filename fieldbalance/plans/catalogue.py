@@ -13,13 +13,14 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from fieldbalance.functions import dates, nulls
-from fieldbalance.operators import (balance, canopy, reshape, series, soil, soil_sheet,
-                                    weather)
+from fieldbalance.operators import (balance, canopy, intervals, reshape, series, soil, soil_sheet,
+                                    top_store, weather)
 from fieldbalance.plans import report, trial
 from fieldbalance.plans.trial_sql import nitrogen_columns, statement
 from fieldbalance.schemas import (CANOPY_SHEET, IRRIGATION_DIARY, LAYER_COLUMNS)
 from fieldbalance.session import new_shared_path
-from fieldbalance.sources import climate, headers, published, sheets, tagged
+from fieldbalance.sources import (climate, headers, published, rejects, sheets, tagged,
+                                  versions)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -117,7 +118,7 @@ def _daywise(spark, sf):
 
 
 def _summary(spark, sf):
-    return canopy.canopy_summary(trial.scanned_canopy(spark, sf))
+    return canopy.canopy_summary(trial.canopy_sheet(spark, sf), sensor="Greenseeker")
 
 
 def _cover(spark, sf):
@@ -299,6 +300,149 @@ def climate_text_parse(spark, sf):
     return pet.join(rain, ["station", "date"])
 
 
+def _station_lines(spark, sf, path):
+    """Station exports of which some lines are damaged."""
+    fields = {"station": F.substring("site_id", 2, 9),
+              "date": F.concat(F.date_format("date", "yyyy,MM,dd"), F.lit(",08"))}
+    day = F.day("date")
+
+    def lines(df, amount, *rest):
+        text = F.format_string("%.1f", amount)
+        good = F.concat_ws("\t", fields["station"], fields["date"], text, *map(F.lit, rest))
+        return df.select(
+            F.when(day == 3, F.concat(good, F.lit("\textra")))
+            .when(day == 5, F.concat_ws("\t", F.lit("?"), fields["date"], text, *map(F.lit, rest)))
+            .when(day == 7, F.concat_ws("\t", fields["station"], F.lit("1996,13,45,08"), text,
+                                        *map(F.lit, rest)))
+            .when(day == 9, F.concat_ws("\t", fields["station"], fields["date"], F.lit("12d"),
+                                        *map(F.lit, rest)))
+            .when(day == 11, F.concat_ws("\t", fields["station"], fields["date"], F.lit("-"),
+                                         *map(F.lit, rest))).otherwise(good).alias("line"))
+
+    head = trial.sites(spark, sf).select(F.inline(F.array(*[
+        F.struct(F.concat(F.lit(text), "site_id").alias("line")) for text in
+        ("Station information: ", "Station\tDate(NZST)\tAmount(mm)\tPeriod(Hrs)\tType ",
+         "Total number of rows output = ")])))
+    head.write.text(path)
+    lines(trial.pet(spark, sf), "pet", "24", "P").write.mode("append").text(path)
+    (lines(trial.rain(spark, sf), "rain", "-", "0.0", "0.0", "24", "D")
+     .write.mode("append").text(path))
+
+
+@query("""
+SELECT kind, CAST(rows AS BIGINT) AS rows, amount FROM (
+  SELECT 'pet' AS kind, count(*) AS rows, 
+    CAST(sum(CASE WHEN day(date) = 11 THEN 0 ELSE CAST(round(pet * 10) AS BIGINT) END) AS DOUBLE) / 10 AS amount
+  FROM v_pet WHERE day(date) NOT IN (3, 5, 7, 9)
+  UNION ALL
+  SELECT 'rain', count(*), 
+    CAST(sum(CASE WHEN day(date) = 11 THEN 0 ELSE CAST(round(rain * 10) AS BIGINT) END) AS DOUBLE) / 10
+  FROM v_rain WHERE day(date) NOT IN (3, 5, 7, 9)
+  UNION ALL
+  SELECT CASE day(date) WHEN 3 THEN 'fields' WHEN 5 THEN 'station' WHEN 7 THEN 'date'
+      ELSE 'amount' END, count(*), NULL
+  FROM (SELECT date FROM v_pet UNION ALL SELECT date FROM v_rain)
+  WHERE day(date) IN (3, 5, 7, 9) GROUP BY 1)""")
+def station_rejects(spark, sf):
+    """Rows and millimetres that can be used, and lines that cannot, by reason."""
+    path = new_shared_path(spark, "station-text")
+    _station_lines(spark, sf, path)
+    found = rejects.read_station_text_checked(spark, path, max_rejected=0.5)
+
+    def counted(df, kind, amount):
+        return df.groupBy(kind.alias("kind")).agg(F.count("*").alias("rows"), amount.alias("amount"))
+
+    tenths = {c: F.coalesce(F.sum(F.round(F.col(c) * 10).cast("long")), F.lit(0)) / F.lit(10.0)
+              for c in ("pet", "rain")}
+    return (counted(found.pet, F.lit("pet"), tenths["pet"])
+            .unionByName(counted(found.rain, F.lit("rain"), tenths["rain"]))
+            .unionByName(counted(found.rejects, F.col("reason"), F.lit(None).cast("double"))))
+
+
+@query("""
+SELECT CASE day(date) WHEN 4 THEN 'date' ELSE 'irrigation_1' END AS reason, site_id, crop, date
+FROM v_diary
+WHERE day(date) = 6 AND irrigation_1 IS NOT NULL
+  OR day(date) = 4 AND (irrigation_1 IS NOT NULL OR irrigation_2 IS NOT NULL)
+UNION ALL
+SELECT 'used', site_id, crop, date FROM v_diary WHERE day(date) <> 4""")
+def sheet_rejects(spark, sf):
+    """Diary rows in use, rows whose date cannot be read, cells that are no number."""
+    path = new_shared_path(spark, "diary-sheet")
+    diary = trial.irrigation_diary(spark, sf)
+    day = F.day("date")
+    amount = F.col("irrigation_1").cast("string")
+    text = diary.select(
+        "site_id", "crop",
+        F.when(day == 4, F.concat(F.lit("the "), F.date_format("date", "yyyy-MM-dd")))
+        .otherwise(F.date_format("date", "yyyy-MM-dd")).alias("date"),
+        F.when(day == 6, F.concat(amount, F.lit("d"))).otherwise(amount).alias("irrigation_1"),
+        "irrigation_2")
+    text.write.csv(path)
+    sites = diary.select("site_id").distinct()
+    sites.select(F.inline(F.array(
+        F.struct(F.concat(F.lit("Irrigation diary of site "), "site_id").alias("line")),
+        F.struct(F.lit(",".join(IRRIGATION_DIARY.fieldNames())).alias("line"))))
+    ).write.mode("append").text(path)
+    found = rejects.read_sheet_checked(spark, path, IRRIGATION_DIARY, "date", max_rejected=0.5)
+    cell = F.split("line", ",")
+    lost = found.rejects.select("reason", cell[0].alias("site_id"), cell[1].alias("crop"),
+                                F.to_date(F.regexp_extract(cell[2], r"\d{4}-\d\d-\d\d", 0)).alias("date"))
+    return lost.unionByName(found.rows.select(F.lit("used").alias("reason"), "site_id", "crop", "date"))
+
+
+@query("""
+SELECT CAST(1 AS INTEGER) AS version, site_id, date, pet, CAST(NULL AS DOUBLE) AS rain FROM v_pet
+UNION ALL
+SELECT 2, site_id, date, pet, rain FROM v_weather""")
+def publish_versioned(spark, sf):
+    """Two published versions; a third is written and never shown."""
+    path = new_shared_path(spark, "versions")
+    first = trial.pet(spark, sf).withColumn("rain", F.lit(None).cast("double"))
+    versions.publish_versioned(first, path)
+    versions.publish_versioned(_weather(spark, sf), path)
+    versions.Draft(spark, path).write(first.limit(1))
+    old = versions.read_version(spark, path, version=1).withColumn("version", F.lit(1))
+    return old.unionByName(versions.read_version(spark, path).withColumn("version", F.lit(2)))
+
+
+@query(f"""
+SELECT g.site_id, g.crop, g.sensor, c.rows IS NOT NULL AS present
+FROM (SELECT replace(site_id, 'S', 'S_') AS site_id, a.crop, b.sensor
+      FROM v_sites, (VALUES {', '.join(f"('{c}')" for c in trial.CROPS)}) AS a(crop),
+        (VALUES {', '.join(f"('{s}')" for s in trial.SENSORS)}) AS b(sensor)) g
+LEFT JOIN (SELECT replace(site_id, 'S', 'S_') AS site_id, crop, sensor, count(*) AS rows
+           FROM v_canopy_all GROUP BY ALL) c USING (site_id, crop, sensor)""")
+def canopy_files_missing(spark, sf):
+    """The candidate grid against the files that are there; site names hold an underscore."""
+    path = new_shared_path(spark, "canopy-files")
+
+    def named(df):
+        return df.withColumn("site_id", F.regexp_replace("site_id", "^S", "S_"))
+
+    (named(trial.canopy_sheet(spark, sf))
+     .withColumn("file", F.concat_ws("_", "site_id", "crop", "sensor"))
+     .drop("site_id", "crop", "sensor").hint("rebalance", "file")
+     .write.partitionBy("file").parquet(path))
+    grid = tagged.file_grid(spark, named(trial.sites(spark, sf)), trial.CROPS, trial.SENSORS)
+    listing = tagged.file_listing(spark, path, trial.CROPS, trial.SENSORS, one_folder_each=True)
+    return tagged.grid_coverage(grid, listing).select("site_id", "crop", "sensor", "present")
+
+
+@query("""
+SELECT p.site_id, p.date, p.pet FROM v_pet p
+JOIN (SELECT site_id, min(date) AS start_date FROM v_diary WHERE irrigation_1 >= 15 GROUP BY 1) s
+  USING (site_id)
+WHERE p.date BETWEEN s.start_date AND current_date""")
+def station_pruned_scan(spark, sf):
+    """Stored weather of the sites with a heavily watered day, from the first such day on."""
+    path = new_shared_path(spark, "weather-by-site")
+    climate.store_by_station(trial.pet(spark, sf), path)
+    starts = climate.first_dates(trial.irrigation_diary(spark, sf).filter("irrigation_1 >= 15"))
+    return climate.stored_period(spark, path, "date date, pet double, site_id string", starts).select(
+        "site_id", "date", "pet")
+
+
 # Reshaping -------------------------------------------------------------------
 
 @query(f"SELECT {_READING}, variable, value FROM v_long")
@@ -332,7 +476,9 @@ def pivot_irrigation(spark, sf):
 SELECT site_id, date, {_r('pet', 'precipitation', *nitrogen_columns('Wt_', 'Drainage_'))}
 FROM v_wide_states""")
 def pivot_balance(spark, sf):
-    return _rounded(report.pivot_balance(_states(spark, sf), 1))
+    """Level 1; the days of the other level are not walked."""
+    states = balance.water_balance(_daily(spark, sf), _inputs(spark, sf).filter("irrigation = 1"))
+    return _rounded(report.pivot_balance(states, 1))
 
 
 def _nested(spark, sf):
@@ -454,6 +600,24 @@ def start_deficit(spark, sf):
     return _rounded(soil.start_deficit(_layers(spark, sf)))
 
 
+def _depth_table(spark, sf):
+    """Depths of interest, one of them the rooting depth of the site."""
+    rooted = (F.lit(35) + 15 * (F.col("site_no") % 9)).cast("int")
+    return trial.sites(spark, sf).select("site_id", F.inline(F.array(*[
+        F.struct(F.lit(name).alias("profile"), F.lit(cm).cast("int").alias("depth_cm"))
+        if isinstance(cm, int) else F.struct(F.lit(name).alias("profile"), cm.alias("depth_cm"))
+        for name, cm in (("30 cm", 30), ("105 cm", 105), ("200 cm", 200), ("rooted", rooted))])))
+
+
+@query(f"SELECT {_PROFILE}, profile, depth_cm, covered_cm, {_r('profile_water', 'pawc', 'swd')} "
+       "FROM v_interval_swd")
+def swd_depth_intervals(spark, sf):
+    """Ten uneven layers with a gap, summed to depths that cut through them."""
+    sheet = dates.with_local_date(trial.soil_sheet(spark, sf, names=trial.UNEVEN_LAYERS))
+    layers = intervals.interval_layers(soil.melt_layers(sheet), trial.UNEVEN_LAYERS)
+    return _rounded(intervals.swd_to_depths(layers, _depth_table(spark, sf), deepest_cm=200))
+
+
 # Dates and ordered series ---------------------------------------------------------
 
 @query("""
@@ -536,8 +700,7 @@ SELECT CAST(DATE '1970-01-01' + CAST((date - DATE '1970-01-01') // 7 * 7 AS INTE
     AS time, site_id, crop, irrigation, nitrogen, {_sql_six("avg(mean)")} AS mean
 FROM v_summary GROUP BY ALL""")
 def canopy_time_bucket(spark, sf):
-    rows = report.canopy_time_bucket(_summary(spark, sf))
-    return _rounded(rows.withColumn("time", F.to_date("time")))
+    return _rounded(report.canopy_time_bucket(_summary(spark, sf)))
 
 
 # Canopy ------------------------------------------------------------------------------
@@ -656,6 +819,35 @@ def balance_corrected_pet(spark, sf):
     return _rounded(balance.water_balance(daily, _inputs(spark, sf), pet_col="pet_correction"))
 
 
+@query(f"SELECT {_TREATMENT}, date, {_r('ws', 'es')} FROM v_states")
+def balance_top_store_scan(spark, sf):
+    """The top store by composed maps of months, without a walk over the days."""
+    return _rounded(top_store.top_store_scan(_daily(spark, sf), _inputs(spark, sf)))
+
+
+@query(f"SELECT {_TREATMENT}, date, {_r('swd', *_STATE_COLUMNS)} FROM v_driest_states")
+def balance_nested_reset(spark, sf):
+    """June days measured a second time, under another crop; the driest counts."""
+    measured = soil_sheet.swd_from_means(_means(spark, sf), 3).select(
+        "site_id", "irrigation", "n_rate", "date", "swd")
+    again = measured.filter(F.month("date") == 6).withColumn("swd", F.col("swd") - 5)
+    return _rounded(_states(spark, sf, reset=measured.unionByName(again), same_day="driest"))
+
+
+@query(f"""
+SELECT 'missing' AS mode, {_TREATMENT}, date, {_r(*_STATE_COLUMNS)} FROM v_gap_states
+UNION ALL
+SELECT 'zero', {_TREATMENT}, date, {_r(*_STATE_COLUMNS)} FROM v_dry_states""")
+def balance_missing_rain(spark, sf):
+    """A rain gauge with gaps: days without a record as missing, and as dry."""
+    seen = weather.weather_join(trial.pet(spark, sf), trial.gauge(spark, sf))
+    states = []
+    for mode in ("missing", "zero"):
+        daily = weather.daily_inputs(seen, trial.irrigation_diary(spark, sf), missing_rain=mode)
+        states.append(balance.water_balance(daily, _inputs(spark, sf)).withColumn("mode", F.lit(mode)))
+    return _rounded(states[0].unionByName(states[1]))
+
+
 # Reports -------------------------------------------------------------------------------
 
 _PUBLISHED = [*nitrogen_columns("SWD_"), "PET", "Precipitation",
@@ -667,6 +859,53 @@ def publish_wide(spark, sf):
     return _rounded(_published(spark, sf))
 
 
+def _second(spark, sf, level):
+    states = balance.water_balance(_daily(spark, sf), _inputs(spark, sf).filter(F.col("irrigation") == level))
+    return report.publish_wide(states, _depths(spark, sf), level, measured_irrigation=2)
+
+
+@query(f"SELECT site_id, date, profile, {_r(*_PUBLISHED)} FROM v_published_2")
+def publish_wide_2(spark, sf):
+    """The table of irrigation level 2."""
+    return _rounded(_second(spark, sf, 2))
+
+
+@query(f"SELECT site_id, date, profile, {_r(*_PUBLISHED)} FROM v_published_2of1")
+def publish_wide_2_parity(spark, sf):
+    """Measured deficits of level 2 beside the modelled days of level 1."""
+    return _rounded(_second(spark, sf, 1))
+
+
+_FIVE = [f"SWD_Nitrogen {k}" for k in range(1, 6)]
+
+
+@query(f"SELECT site_id, crop, date, profile, {_r(*_FIVE)} FROM v_five_rates")
+def pivot_found_rates(spark, sf):
+    """Five nitrogen rates that only the data tell of."""
+    sheet = dates.with_local_date(trial.soil_sheet(spark, sf, rates=5))
+    depths = soil_sheet.multi_depth_from_means(soil_sheet.sheet_means(sheet))
+    return _rounded(report.pivot_swd(depths, 2, reshape.found_names(depths, "n_rate")))
+
+
+@query(f"""
+SELECT site_id, date, crop, {_r('irrigation_3', 'precipitation_1', 'precipitation_2', 'precipitation_3')}
+FROM v_daily_3""")
+def daily_inputs_found_levels(spark, sf):
+    """Three irrigation levels that only the diary's header tells of."""
+    daily = weather.daily_inputs(_weather(spark, sf), trial.three_level_diary(spark, sf))
+    return _rounded(daily.select("site_id", "date", "crop", "irrigation_3",
+                                 *[f"precipitation_{k}" for k in (1, 2, 3)]))
+
+
+@query(f"""
+SELECT site_id, date, nullif({_sql_six(_quoted("PET"))}, 0) AS "PET",
+  nullif({_sql_six(_quoted("Precipitation"))}, 0) AS "Precipitation"
+FROM v_published WHERE profile IS NULL OR profile NOT IN ('20 cm', '40 cm')""")
+def figure_weather(spark, sf):
+    rows = report.figure_drainage(_published(spark, sf))[0].select("site_id", "date", "PET", "Precipitation")
+    return nulls.zero_to_null(_rounded(rows), ["PET", "Precipitation"])
+
+
 def _panel(column: str, name: str) -> str:
     return f'{_sql_six(_quoted(column))} AS "{name}"'
 

@@ -17,7 +17,8 @@ NITROGEN = ["Nitrogen 1", "Nitrogen 2", "Nitrogen 3", "Nitrogen 4"]
 def pivot_swd(deficits: DataFrame, irrigation: int, nitrogen: Sequence[str] = NITROGEN) -> DataFrame:
     """Measured deficits of one irrigation level, one column per nitrogen rate."""
     return cast_wide(deficits.filter(F.col("irrigation") == irrigation),
-                     ["site_id", "crop", "date", "profile"], "n_rate", nitrogen, {"swd": "SWD_"})
+                     ["site_id", "crop", "date", "profile"], "n_rate", nitrogen, {"swd": "SWD_"},
+                     others="raise")
 
 
 def pivot_balance(balance: DataFrame, irrigation: int,
@@ -29,13 +30,18 @@ def pivot_balance(balance: DataFrame, irrigation: int,
     """
     return cast_wide(balance.filter(F.col("irrigation") == irrigation),
                      ["site_id", "date", "pet", "precipitation"], "n_rate", nitrogen,
-                     {"wt": "Wt_", "drainage": "Drainage_"})
+                     {"wt": "Wt_", "drainage": "Drainage_"}, others="raise")
 
 
 def publish_wide(balance: DataFrame, deficits: DataFrame, irrigation: int = 1,
-                 nitrogen: Sequence[str] = NITROGEN) -> DataFrame:
-    """The published table: every day, once per measured depth where measured."""
-    measured = pivot_swd(deficits, irrigation, nitrogen).drop("crop")
+                 nitrogen: Sequence[str] = NITROGEN,
+                 measured_irrigation: int | None = None) -> DataFrame:
+    """The published table: every day, once per measured depth where measured.
+
+    ``measured_irrigation`` names the level of the measured deficits where it is not
+    the level of the modelled ones.
+    """
+    measured = pivot_swd(deficits, measured_irrigation or irrigation, nitrogen).drop("crop")
     modelled = (pivot_balance(balance, irrigation, nitrogen)
                 .withColumnsRenamed({"pet": "PET", "precipitation": "Precipitation"}))
     return modelled.join(measured, ["site_id", "date"], "left").select(

@@ -8,6 +8,7 @@ and days all grow with the data. The same views in SQL are in ``trial_sql``.
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -42,6 +43,10 @@ CANOPY_OF_EVENT = {
 }
 CROPS = ["Onion", "Onions", "Wheat", "Broccoli", "Potato"]
 SENSORS = ["Sunscan", "Greenseeker"]
+# Ten layers of uneven thickness; nobody measures between 100 and 110 cm.
+UNEVEN_LAYERS = [f"VWC_{top}_{bottom}" for top, bottom in
+                 [(0, 10), (10, 25), (25, 40), (40, 60), (60, 90), (90, 100), (110, 130),
+                  (130, 150), (150, 180), (180, 200)]]
 
 
 # Declared, so that opening a table starts no job to look into its files.
@@ -71,7 +76,13 @@ def _crop(date: str) -> Column:
     return F.when(half == 1, "Wheat").when(half == 2, "Broccoli").otherwise("Potato")
 
 
-def soil_sheet(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _month_instant(column: str) -> Column:
+    """First instant (UTC) of a date's month, the same in every session zone."""
+    return F.timestamp_seconds(F.unix_date(F.trunc(F.to_date(column), "month")).cast("long") * 86_400)
+
+
+def soil_sheet(spark: SparkSession, sf_dir: str, rates: int = 4,
+               names: Sequence[str] = LAYER_COLUMNS) -> DataFrame:
     def cell(k: int) -> Column:
         return F.expr(f"""
             CASE WHEN (l_orderkey + {k}) % 97 = 0 THEN 'n/a'
@@ -80,18 +91,18 @@ def soil_sheet(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     rows = table(spark, sf_dir, "lineitem").select(
         _site("l_suppkey", 4).alias("site_id"), _crop("l_shipdate").alias("crop"),
-        F.date_trunc("month", "l_shipdate").cast("timestamp").alias("date"),
+        _month_instant("l_shipdate").alias("date"),
         F.col("l_suppkey").cast("string").alias("plot"),
         F.when(F.col("l_linestatus") == "F", 1).otherwise(2).alias("irrigation"),
-        ((F.col("l_linenumber") - 1) % 4 + 1).cast("int").alias("n_rate"),
-        *[cell(k).alias(name) for k, name in enumerate(LAYER_COLUMNS)])
-    return validate(rows, SOIL_SHEET)
+        ((F.col("l_linenumber") - 1) % rates + 1).cast("int").alias("n_rate"),
+        *[cell(k).alias(name) for k, name in enumerate(names)])
+    return validate(rows, SOIL_SHEET) if list(names) == LAYER_COLUMNS else rows
 
 
 def flag_sheet(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "orders").select(
         _site("o_custkey", 60).alias("site_id"),
-        F.date_trunc("month", "o_orderdate").cast("timestamp").alias("date"),
+        _month_instant("o_orderdate").alias("date"),
         F.expr("o_custkey div 15").cast("string").alias("plot"),
         *[F.expr(f"CASE WHEN o_orderstatus = 'P' AND o_orderkey % 8 = {k} THEN 1 END").alias(name)
           for k, name in enumerate(LAYER_COLUMNS)],
@@ -124,6 +135,15 @@ def gauge(spark: SparkSession, sf_dir: str) -> DataFrame:
     return validate(rows, RAIN)
 
 
+def three_level_diary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A diary of a trial with a third irrigation level."""
+    rows = table(spark, sf_dir, "orders").groupBy(
+        _site("o_custkey", 60).alias("site_id"), F.to_date("o_orderdate").alias("date"))
+    return rows.agg(*[F.when(F.count_if(hit) > 0, F.count_if(hit) * 5.0).alias(f"irrigation_{k}")
+                      for k, s in enumerate("FOP", start=1)
+                      for hit in [F.col("o_orderstatus") == s]]).withColumn("crop", _crop("date"))
+
+
 def irrigation_diary(spark: SparkSession, sf_dir: str) -> DataFrame:
     def water(status: str) -> Column:
         times = F.count_if(F.col("o_orderstatus") == status)

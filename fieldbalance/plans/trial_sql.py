@@ -9,7 +9,8 @@ from __future__ import annotations
 
 import re
 
-from fieldbalance.plans.trial import CANOPY_OF_EVENT, GROWTH_EVENTS, MONTHS_BACK
+from fieldbalance.plans.trial import (CANOPY_OF_EVENT, GROWTH_EVENTS, MONTHS_BACK,
+                                      UNEVEN_LAYERS)
 from fieldbalance.schemas import LAYER_COLUMNS
 
 VIEWS: dict[str, str] = {}
@@ -44,19 +45,25 @@ def statement(body: str) -> str:
     return "WITH RECURSIVE " + ",\n".join(heads) + "\n" + body
 
 
-_CELLS = ",\n".join(
-    f"CASE WHEN (l_orderkey + {k}) % 97 = 0 THEN 'n/a' WHEN (l_partkey + {k}) % 53 = 0 THEN NULL "
-    f"ELSE CAST(8 + (CAST(l_quantity AS BIGINT) * {k + 3} + l_partkey) % 30 AS VARCHAR) || '.5' "
-    f"END AS {name}" for k, name in enumerate(LAYER_COLUMNS))
+def _cells(names: list[str]) -> str:
+    return ",\n".join(
+        f"CASE WHEN (l_orderkey + {k}) % 97 = 0 THEN 'n/a' WHEN (l_partkey + {k}) % 53 = 0 THEN NULL "
+        f"ELSE CAST(8 + (CAST(l_quantity AS BIGINT) * {k + 3} + l_partkey) % 30 AS VARCHAR) || '.5' "
+        f"END AS {name}" for k, name in enumerate(names))
+
 
-VIEWS["v_soil"] = f"""
+def _soil(names: list[str], rates: int = 4) -> str:
+    return f"""
 SELECT 'S' || (l_suppkey // 4) AS site_id, {_crop('l_shipdate')} AS crop,
   CAST(date_trunc('month', l_shipdate) AS DATE) AS date, CAST(l_suppkey AS VARCHAR) AS plot,
   CASE WHEN l_linestatus = 'F' THEN 1 ELSE 2 END AS irrigation,
-  (l_linenumber - 1) % 4 + 1 AS n_rate,
-{_CELLS}
+  (l_linenumber - 1) % {rates} + 1 AS n_rate,
+{_cells(names)}
 FROM lineitem"""
 
+
+VIEWS["v_soil"] = _soil(LAYER_COLUMNS)
+
 _MARKS = ",\n".join(
     f"CASE WHEN o_orderstatus = 'P' AND o_orderkey % 8 = {k} THEN 1 END AS {name}"
     for k, name in enumerate(LAYER_COLUMNS))
@@ -292,20 +299,26 @@ FROM v_daily d LEFT JOIN v_coefficient c
   ON d.site_id = c.site_id AND d.date = c.date AND d.crop = c.crop"""
 
 
-def _series(pet: str) -> str:
+def _series(pet: str, days: str = "v_corrected", swd: str = "m.swd") -> str:
     return f"""
 SELECT i.site_id, i.irrigation, i.n_rate, d.date, {pet} AS pet,
   CASE i.irrigation WHEN 1 THEN d.precipitation_1 ELSE d.precipitation_2 END AS precipitation,
-  m.swd, i.wt0, i.ws0, i.awhc, i.awhcs,
+  {swd} AS swd, i.wt0, i.ws0, i.awhc, i.awhcs,
   dense_rank() OVER (ORDER BY i.site_id, i.irrigation, i.n_rate) AS series,
   row_number() OVER (PARTITION BY i.site_id, i.irrigation, i.n_rate ORDER BY d.date) AS t
-FROM v_corrected d JOIN v_inputs i ON d.site_id = i.site_id
+FROM {days} d JOIN v_inputs i ON d.site_id = i.site_id
 LEFT JOIN (SELECT * FROM v_swd WHERE depth = 3) m
   ON m.site_id = i.site_id AND m.irrigation = i.irrigation AND m.n_rate = i.n_rate
   AND m.date = d.date"""
 
 
-def _walk(series: str, name: str, reset: bool) -> str:
+def _walk(series: str, name: str, reset: bool, strict: bool = False) -> str:
+    def fold(f: str, *args: str) -> str:
+        """Smallest or largest; with ``strict`` missing as soon as an argument is."""
+        plain = f"{f}({', '.join(args)})"
+        known = " AND ".join(f"({a}) IS NOT NULL" for a in args)
+        return f"CASE WHEN {known} THEN {plain} END" if strict else plain
+
     modelled = "ow + precipitation - aet"
     following = f"coalesce(swd, {modelled})" if reset else modelled
     return f"""
@@ -315,13 +328,13 @@ SELECT site_id, irrigation, n_rate, date, pet, precipitation, swd, awhc, awhcs,
 FROM {series} WHERE t = 1
 {WALK}
 SELECT site_id, irrigation, n_rate, date, pet, precipitation, swd, awhc, awhcs, series, t,
-  ws, es, wt, raw, ex, aet, greatest(0, wt + ow + precipitation - aet) AS drainage
-FROM (SELECT *, least(0, {following}) AS wt
-  FROM (SELECT *, least(pet, ex) AS aet
-    FROM (SELECT *, greatest(es, pet * ((awhc + ow) / (awhc - raw))) AS ex
-      FROM (SELECT *, least(0, os + precipitation - es) AS ws,
+  ws, es, wt, raw, ex, aet, {fold('greatest', '0', 'wt + ow + precipitation - aet')} AS drainage
+FROM (SELECT *, {fold('least', '0', following)} AS wt
+  FROM (SELECT *, {fold('least', 'pet', 'ex')} AS aet
+    FROM (SELECT *, {fold('greatest', 'es', 'pet * ((awhc + ow) / (awhc - raw))')} AS ex
+      FROM (SELECT *, {fold('least', '0', 'os + precipitation - es')} AS ws,
               CAST(0.0073 AS DOUBLE) * (pet * (awhc + ow)) AS raw
-        FROM (SELECT s.*, w.ws AS os, w.wt AS ow, least(s.pet, s.awhcs + w.ws) AS es
+        FROM (SELECT s.*, w.ws AS os, w.wt AS ow, {fold('least', 's.pet', 's.awhcs + w.ws')} AS es
               FROM {name} w JOIN {series} s ON s.series = w.series AND s.t = w.t + 1)))))"""
 
 
@@ -332,29 +345,123 @@ VIEWS["v_cor_series"] = _series("d.pet_correction")
 VIEWS["v_cor_states"] = _walk("v_cor_series", "v_cor_states", reset=False)
 
 
+VIEWS["v_driest_series"] = _series("d.pet", swd="CASE WHEN month(m.date) = 6 THEN m.swd - 5 ELSE m.swd END")
+VIEWS["v_driest_states"] = _walk("v_driest_series", "v_driest_states", reset=True)
+
+
+def _gauged(rain: str) -> str:
+    """Days of the second gauge, which has many gaps."""
+    return f"""
+SELECT site_id, date, pet, {rain} + coalesce(irrigation_1, 0) AS precipitation_1,
+  {rain} + coalesce(irrigation_2, 0) AS precipitation_2
+FROM v_pet LEFT JOIN v_gauge g USING (site_id, date) LEFT JOIN v_diary USING (site_id, date)"""
+
+
+VIEWS["v_gap_days"] = _gauged("g.rain")
+VIEWS["v_gap_series"] = _series("d.pet", "v_gap_days")
+VIEWS["v_gap_states"] = _walk("v_gap_series", "v_gap_states", reset=False, strict=True)
+VIEWS["v_dry_days"] = _gauged("coalesce(g.rain, 0)")
+VIEWS["v_dry_series"] = _series("d.pet", "v_dry_days")
+VIEWS["v_dry_states"] = _walk("v_dry_series", "v_dry_states", reset=False, strict=True)
+
+# Layers of uneven thickness: every centimetre of a profile is a row.
+VIEWS["v_uneven"] = _soil(UNEVEN_LAYERS)
+VIEWS["v_uneven_mean"] = f"""
+SELECT site_id, crop, date, irrigation, n_rate, variable, avg(TRY_CAST(value AS DOUBLE)) AS percent
+FROM v_uneven UNPIVOT INCLUDE NULLS (value FOR variable IN ({", ".join(UNEVEN_LAYERS)}))
+GROUP BY ALL"""
+VIEWS["v_uneven_cm"] = """
+SELECT variable, CAST(unnest(range(CAST(split_part(variable, '_', 2) AS BIGINT),
+  CAST(split_part(variable, '_', 3) AS BIGINT))) AS INTEGER) AS cm
+FROM (SELECT DISTINCT variable FROM v_uneven_mean)"""
+VIEWS["v_asked"] = """
+SELECT site_id, profile, CAST(cm AS INTEGER) AS depth_cm FROM (
+  SELECT site_id, unnest(['30 cm', '105 cm', '200 cm', 'rooted']) AS profile,
+    unnest([30, 105, 200, 35 + 15 * (site_no % 9)]) AS cm
+  FROM v_sites)"""
+VIEWS["v_asked_parts"] = """
+SELECT a.site_id, a.profile, a.depth_cm, c.variable, CAST(count(*) AS INTEGER) AS cm
+FROM v_asked a JOIN v_uneven_cm c ON c.cm < a.depth_cm GROUP BY ALL"""
+VIEWS["v_interval_swd"] = """
+SELECT *, profile_water - pawc AS swd FROM (
+  SELECT *, max(profile_water) OVER (PARTITION BY site_id, irrigation, n_rate, profile) AS pawc
+  FROM (SELECT m.site_id, m.crop, m.date, m.irrigation, 'Nitrogen ' || m.n_rate AS n_rate,
+          p.profile, p.depth_cm, coalesce(sum(m.percent * p.cm / 10.0), 0) AS profile_water,
+          CAST(sum(p.cm) AS INTEGER) AS covered_cm
+        FROM v_uneven_mean m JOIN v_asked_parts p USING (site_id, variable) GROUP BY ALL))"""
+
+# Five rates, three levels.
+VIEWS["v_soil_5"] = _soil(LAYER_COLUMNS, rates=5)
+VIEWS["v_depths_5"] = f"""
+SELECT *, profile_water - max(profile_water) OVER (
+  PARTITION BY site_id, irrigation, n_rate, profile) AS swd
+FROM (
+  SELECT site_id, crop, date, irrigation, n_rate, (d.depth * 20) || ' cm' AS profile,
+    coalesce(sum(sw), 0) AS profile_water
+  FROM (SELECT site_id, crop, date, irrigation, n_rate, variable,
+          avg(TRY_CAST(value AS DOUBLE) * 2) AS sw
+        FROM v_soil_5 UNPIVOT INCLUDE NULLS (value FOR variable IN ({", ".join(LAYER_COLUMNS)}))
+        GROUP BY ALL)
+  JOIN (VALUES (1), (2), (3)) AS d(depth) ON CAST(split_part(variable, '_', 3) AS INTEGER) <= d.depth * 20
+  GROUP BY ALL)"""
+VIEWS["v_five_rates"] = """
+SELECT site_id, crop, date, profile,
+""" + ", ".join(f'max(CASE WHEN n_rate = {k} THEN swd END) AS "SWD_Nitrogen {k}"' for k in range(1, 6)) + """
+FROM v_depths_5 WHERE irrigation = 2 GROUP BY ALL"""
+VIEWS["v_diary_3"] = f"""
+SELECT site_id, {_crop('date')} AS crop, date, CASE WHEN f > 0 THEN f * CAST(5 AS DOUBLE) END AS irrigation_1,
+  CASE WHEN o > 0 THEN o * CAST(5 AS DOUBLE) END AS irrigation_2,
+  CASE WHEN p > 0 THEN p * CAST(5 AS DOUBLE) END AS irrigation_3
+FROM (SELECT 'S' || (o_custkey // 60) AS site_id, CAST(o_orderdate AS DATE) AS date,
+        count(*) FILTER (WHERE o_orderstatus = 'F') AS f, count(*) FILTER (WHERE o_orderstatus = 'O') AS o,
+        count(*) FILTER (WHERE o_orderstatus = 'P') AS p
+      FROM orders GROUP BY 1, 2)"""
+VIEWS["v_daily_3"] = """
+SELECT site_id, date, coalesce(irrigation_3, 0) AS irrigation_3,
+  rain + coalesce(irrigation_1, 0) AS precipitation_1, rain + coalesce(irrigation_2, 0) AS precipitation_2,
+  rain + coalesce(irrigation_3, 0) AS precipitation_3,
+  last_value(CASE WHEN place = 1 THEN 'Potato' ELSE crop END IGNORE NULLS)
+    OVER (PARTITION BY site_id ORDER BY date) AS crop
+FROM (SELECT *, row_number() OVER (PARTITION BY site_id ORDER BY date) AS place
+      FROM v_weather LEFT JOIN v_diary_3 USING (site_id, date))"""
+
+
 def _wide(value: str, prefix: str, source_label: str = "n_rate") -> str:
     return ",\n".join(
         f"max(CASE WHEN {source_label} = 'Nitrogen {k}' THEN {value} END) AS \"{prefix}Nitrogen {k}\""
         for k in range(1, 5))
 
 
-VIEWS["v_wide_swd"] = f"""
+def _wide_swd(level: int) -> str:
+    return f"""
 SELECT site_id, crop, date, profile, {_wide('swd', 'SWD_')}
-FROM v_depths WHERE irrigation = 1 GROUP BY ALL"""
+FROM v_depths WHERE irrigation = {level} GROUP BY ALL"""
+
 
-VIEWS["v_wide_states"] = f"""
+def _wide_states(level: int) -> str:
+    return f"""
 SELECT site_id, date, pet, precipitation, {_wide('wt', 'Wt_')}, {_wide('drainage', 'Drainage_')}
-FROM v_states WHERE irrigation = 1 GROUP BY ALL"""
+FROM v_states WHERE irrigation = {level} GROUP BY ALL"""
+
+
+VIEWS["v_wide_swd"], VIEWS["v_wide_swd_2"] = _wide_swd(1), _wide_swd(2)
+VIEWS["v_wide_states"], VIEWS["v_wide_states_2"] = _wide_states(1), _wide_states(2)
 
 
 def nitrogen_columns(*prefixes: str) -> list[str]:
     return [f"{p}Nitrogen {k}" for p in prefixes for k in range(1, 5)]
 
 
-VIEWS["v_published"] = f"""
+def _published(modelled: str, measured: str, level: int) -> str:
+    return f"""
 SELECT w.site_id, w.date, m.profile, {", ".join(f'm."{c}"' for c in nitrogen_columns("SWD_"))},
-  d.pet AS "PET", d.precipitation_1 AS "Precipitation",
+  d.pet AS "PET", d.precipitation_{level} AS "Precipitation",
   {", ".join(f'w."{c}"' for c in nitrogen_columns("Wt_", "Drainage_"))}
-FROM v_wide_states w
+FROM {modelled} w
 LEFT JOIN v_daily d ON d.site_id = w.site_id AND d.date = w.date
-LEFT JOIN v_wide_swd m ON m.site_id = w.site_id AND m.date = w.date"""
+LEFT JOIN {measured} m ON m.site_id = w.site_id AND m.date = w.date"""
+
+
+VIEWS["v_published"] = _published("v_wide_states", "v_wide_swd", 1)
+VIEWS["v_published_2"] = _published("v_wide_states_2", "v_wide_swd_2", 2)
+VIEWS["v_published_2of1"] = _published("v_wide_states", "v_wide_swd_2", 1)

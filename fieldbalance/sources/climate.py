@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fieldbalance.functions.dates import parsed_date
+from fieldbalance.functions.nulls import to_number
 
 # Fixed values of the export layout.
 PET_FIELDS = 5
@@ -29,7 +30,7 @@ def _section(lines: DataFrame, width: int, amount: str) -> DataFrame:
     return lines.filter(F.size(field) == width).select(
         field[0].cast("int").alias("station"),
         parsed_date(field[1], DATE_LAYOUT).alias("date"),
-        field[2].try_cast("double").alias(amount),
+        to_number(field[2]).alias(amount),
     )
 
 
@@ -55,6 +56,21 @@ def station_period(weather: DataFrame, start: DataFrame | str,
             .filter(F.col("date") >= F.col("start_date")).drop("start_date"))
 
 
+def store_by_station(weather: DataFrame, path: str) -> None:
+    """Keep weather in one folder per site, so that a reader opens only the sites it needs."""
+    weather.hint("rebalance", "site_id").write.partitionBy("site_id").mode("overwrite").parquet(path)
+
+
+def stored_period(spark: SparkSession, path: str, schema: str, start: DataFrame,
+                  until: Column | None = None) -> DataFrame:
+    """The wanted period of stored weather; only the folders of the sites in ``start`` are read.
+
+    Which sites those are is known when the query runs: the folders are pruned by the
+    start table itself.
+    """
+    return station_period(spark.read.schema(schema).parquet(path), start, until=until)
+
+
 def first_dates(df: DataFrame) -> DataFrame:
     """First date of every site, the start of its weather period."""
     return df.groupBy("site_id").agg(F.min("date").alias("start_date"))

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from fieldbalance.functions.nulls import to_number
+
 
 def read_sheet(spark: SparkSession, path: str, schema: T.StructType, key: str,
                sep: str = ",") -> DataFrame:
@@ -19,7 +21,13 @@ def read_sheet(spark: SparkSession, path: str, schema: T.StructType, key: str,
     rows = (spark.read.schema(as_text).option("sep", sep).option("mode", "PERMISSIVE")
             .csv(path))
     return (rows.filter(F.col(key).try_cast(schema[key].dataType).isNotNull())
-            .select(*[F.col(f.name).try_cast(f.dataType).alias(f.name) for f in schema.fields]))
+            .select(*[typed_cell(f).alias(f.name) for f in schema.fields]))
+
+
+def typed_cell(field: T.StructField) -> Column:
+    """A text cell in the type of its column; missing if it cannot be read."""
+    cell = F.col(f"`{field.name}`")
+    return to_number(cell) if isinstance(field.dataType, T.DoubleType) else cell.try_cast(field.dataType)
 
 
 def project_rename(df: DataFrame, **new_from_old: str) -> DataFrame:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 from pyspark.errors import AnalysisException
@@ -9,7 +10,12 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-_TAGS = r"([^/_=]+)_([^/_]+)_([^/_.]+)(?:\.[^/]*)?$"
+
+def _tags(crops: Sequence[str], sensors: Sequence[str]) -> str:
+    """Pattern of a tagged name. Crop and sensor are known, so a site may hold ``_``."""
+    listed = ["|".join(re.escape(x) for x in sorted(xs, key=len, reverse=True))
+              for xs in (crops, sensors)]
+    return rf"(?:^|[/=])([^/=]+)_({listed[0]})_({listed[1]})(?:\.[^/]*)?$"
 
 
 def file_grid(spark: SparkSession, sites: DataFrame, crops: Sequence[str],
@@ -23,10 +29,46 @@ def file_grid(spark: SparkSession, sites: DataFrame, crops: Sequence[str],
             .withColumn("stem", F.concat_ws("_", "site_id", "crop", "sensor")))
 
 
-def _tag(part: int, of_folder: bool) -> Column:
-    path = F.col("_metadata.file_path")
-    named = F.regexp_replace(path, r"/[^/]*$", "") if of_folder else path
-    return F.regexp_extract(F.url_decode(named), _TAGS, part)
+def _named(path: Column, of_folder: bool) -> Column:
+    """The part of a path that carries the tags."""
+    return F.url_decode(F.regexp_replace(path, r"/[^/]*$", "") if of_folder else path)
+
+
+def file_listing(spark: SparkSession, folder: str, crops: Sequence[str], sensors: Sequence[str],
+                 one_folder_each: bool = False) -> DataFrame:
+    """(site_id, crop, sensor, files, bytes) of the tagged files below a folder.
+
+    The files are listed as a table and not opened. Names that carry no listed crop
+    and sensor are left out. A folder that is not there gives no rows.
+    """
+    kept = "site_id string, crop string, sensor string, files long, bytes long"
+    try:
+        files = (spark.read.format("binaryFile").option("recursiveFileLookup", "true")
+                 .load(folder).select("path", "length"))
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], kept)
+    tags = _tags(crops, sensors)
+    name = _named(F.col("path"), one_folder_each)
+    return (files.select(*[F.regexp_extract(name, tags, i).alias(c) for i, c in
+                           enumerate(("site_id", "crop", "sensor"), start=1)], "length")
+            .filter("site_id <> ''").groupBy("site_id", "crop", "sensor")
+            .agg(F.count("*").alias("files"), F.sum("length").alias("bytes")))
+
+
+def grid_coverage(grid: DataFrame, listing: DataFrame) -> DataFrame:
+    """Every candidate of the grid with its files and bytes, and whether there are any."""
+    found = grid.select("site_id", "crop", "sensor").join(
+        listing, ["site_id", "crop", "sensor"], "left")
+    return found.withColumns({"present": F.col("files").isNotNull(),
+                              "files": F.coalesce("files", F.lit(0).cast("long")),
+                              "bytes": F.coalesce("bytes", F.lit(0).cast("long"))})
+
+
+def absent_files(grid: DataFrame, listing: DataFrame) -> DataFrame:
+    """Candidates of the grid without a file."""
+    return grid.join(listing, ["site_id", "crop", "sensor"], "left_anti")
 
 
 def read_tagged(spark: SparkSession, folder: str, schema: T.StructType,
@@ -51,6 +93,6 @@ def read_tagged(spark: SparkSession, folder: str, schema: T.StructType,
         return spark.createDataFrame([], T.StructType(
             [*(T.StructField(c, T.StringType()) for c in ("site_id", "crop", "sensor")),
              *schema.fields]))
-    return rows.select(
-        _tag(1, one_folder_each).alias("site_id"), _tag(2, one_folder_each).alias("crop"),
-        _tag(3, one_folder_each).alias("sensor"), *schema.fieldNames())
+    tags, name = _tags(crops, sensors), _named(F.col("_metadata.file_path"), one_folder_each)
+    return rows.select(*[F.regexp_extract(name, tags, i).alias(c) for i, c in
+                         enumerate(("site_id", "crop", "sensor"), start=1)], *schema.fieldNames())

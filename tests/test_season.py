@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from fieldbalance.plans import season, trial
 from fieldbalance.plans.season import publish_season
+from fieldbalance.sources.versions import read_version
 from fieldbalance.session import new_shared_path
 
 
@@ -47,7 +48,7 @@ def test_published_season(spark, tables):
     path = new_shared_path(spark, "season")
     publish_season(tables, path)
     for level in (1, 2):
-        stored = spark.read.parquet(f"{path}/published_{level}")
+        stored = read_version(spark, path, f"published_{level}")
         fresh = season.season(tables)[f"published_{level}"]
         assert stored.columns == fresh.columns and stored.count() == fresh.count()
 
