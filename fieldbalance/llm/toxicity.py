@@ -7,7 +7,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fieldbalance.llm.common import LOWER, table, words_of
+from fieldbalance.llm.common import LOWER, stored, table, words_of
 
 #: Labelled documents the model is fitted on; more are left out by a hash of their id.
 TRAINING_ROWS = 4000
@@ -28,33 +28,42 @@ def features(sentence: str) -> set[str]:
     return words | {w[:n] + "*" for n in STEMS for w in words if len(w) > n}
 
 
-def fit(texts: list[str], labels: list[int], epochs: int = 150, rate: float = 0.3,
-        l2: float = 2e-5, least_docs: int = 4) -> dict:
-    """Word weights, bias and leak that make the noisy-or of sentences fit the labels."""
-    import numpy as np
+def bags(texts: list[str]) -> list[list[set[str]]]:
+    """The features of every sentence that has any, per text."""
+    return [[f for a, b in sentences(t) if (f := features(t[a:b]))] for t in texts]
+
+
+def fit(texts: list[str], labels: list[int], least_docs: int = 4, **how) -> dict:
+    """A model of texts at hand; see ``fit_ids``."""
     seen: dict[str, int] = {}
-    bags = []
-    for text in texts:
-        bag = [features(text[a:b]) for a, b in sentences(text)]
-        bags.append([s for s in bag if s])
+    found = bags(texts)
+    for bag in found:
         for word in set().union(*bag):
             seen[word] = seen.get(word, 0) + 1
-    vocabulary = {w: i for i, w in enumerate(sorted(w for w, n in seen.items() if n >= least_docs))}
+    words = sorted(w for w, n in seen.items() if n >= least_docs)
+    number = {w: i for i, w in enumerate(words)}
+    return fit_ids(words, [[[number[w] for w in s if w in number] for s in bag] for bag in found], labels, **how)
+
+
+def fit_ids(words: list[str], docs: list, labels: list[int], epochs: int = 150, rate: float = 0.3,
+            l2: float = 2e-5) -> dict:
+    """Word weights, bias and leak that make the noisy-or of sentences fit the labels.
+
+    A document is a list of sentences and a sentence a list of places in ``words``.
+    """
+    import numpy as np
     y = np.array(labels, float)
-    doc_of, sent_of, word_of, s = [], [], [], 0
-    for d, bag in enumerate(bags):
-        for sentence in bag:
-            known = [vocabulary[w] for w in sentence if w in vocabulary]
-            word_of += known
-            sent_of += [s] * len(known)
-            doc_of.append(d)
-            s += 1
-    doc_of, sent_of, word_of = (np.array(x, np.int64) for x in (doc_of, sent_of, word_of))
+    sizes = np.array([len(s) for d in docs for s in d], np.int64)
+    doc_of = np.repeat(np.arange(len(docs)), [len(d) for d in docs])
+    sent_of, s = np.repeat(np.arange(len(sizes)), sizes), len(sizes)
+    flat = [np.asarray(x, np.int64) for d in docs for x in d]
+    word_of = np.concatenate(flat) if flat else np.zeros(0, np.int64)
+    del flat
     # Start from the log-odds of a word in toxic against other documents, shrunk to none.
-    positive, negative = np.full(len(vocabulary), 0.5), np.full(len(vocabulary), 0.5)
-    for d, bag in enumerate(bags):
-        ids = [vocabulary[w] for w in set().union(*bag) if w in vocabulary]
-        (positive if y[d] else negative)[ids] += 1
+    held = np.unique(doc_of[sent_of] * max(len(words), 1) + word_of)
+    in_doc, word = held // max(len(words), 1), held % max(len(words), 1)
+    positive = 0.5 + np.bincount(word[y[in_doc] > 0], minlength=len(words))
+    negative = 0.5 + np.bincount(word[y[in_doc] <= 0], minlength=len(words))
     base = (y.sum() + 1) / (len(y) + 2)
     odds = np.log(positive / negative) - np.log(base / (1 - base))
     weight = np.where(odds > 1.5, odds, 0.0)
@@ -72,7 +81,7 @@ def fit(texts: list[str], labels: list[int], epochs: int = 150, rate: float = 0.
         g = slope.sum() / len(y)
         bias_memory += g * g
         bias = min(-2.0, bias + rate * g / np.sqrt(bias_memory))
-    kept = {w: float(weight[i]) for w, i in vocabulary.items() if abs(weight[i]) > 1e-4}
+    kept = {w: float(weight[i]) for i, w in enumerate(words) if abs(weight[i]) > 1e-4}
     return {"weights": kept, "bias": float(bias), "leak": leak}
 
 
@@ -84,19 +93,53 @@ def sentence_scores(model: dict, text: str | None) -> list[tuple[int, int, float
     return out
 
 
-def train(docs: DataFrame, labels: DataFrame, rows: int = TRAINING_ROWS) -> dict:
+def train(docs: DataFrame, labels: DataFrame, rows: int = TRAINING_ROWS, least_docs: int = 4) -> dict:
     """A model from labelled documents; at most `rows`, those smallest by a hash of doc_id.
 
     Only doc_id and toxic of labels and text of docs are read; null labels take no part,
-    a null text is empty. Without labels of both kinds every score is the leak.
+    a null text is empty. Without labels of both kinds every score is the leak. Texts
+    are cut into sentences and words in the tasks: one pass counts the documents of
+    each word, one turns sentences into word numbers, and those reach the driver.
     """
+    import numpy as np
     wanted = (labels.where(F.col("toxic").isNotNull() & F.col("doc_id").isNotNull())
               .groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
               .orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows))
     # At most `rows` labels, so the side that is broadcast has a bound.
-    got = (docs.select("doc_id", "text").join(F.broadcast(wanted), "doc_id")
-           .orderBy(F.xxhash64("doc_id"), "doc_id", "text").limit(rows).collect())
-    return fit([r.text or "" for r in got], [int(r.toxic > 0) for r in got])
+    got = stored(docs.select("doc_id", "text").join(F.broadcast(wanted), "doc_id")
+                 .orderBy(F.xxhash64("doc_id"), "doc_id", "text").limit(rows)
+                 .select("doc_id", F.coalesce("text", F.lit("")).alias("text"), "toxic"), "op4-training")
+    # One sorted row group comes out of the limit; texts are dealt out again for the tasks.
+    spread = got.repartition(max(1, rows // 250), "doc_id")
+
+    def words_in(batches):
+        import pandas as pd
+        for batch in batches:
+            for bag in bags(batch["text"].tolist()):
+                yield pd.DataFrame({"word": pd.Series(list(set().union(*bag)), dtype=object)})
+
+    often = (spread.mapInPandas(words_in, "word string").groupBy("word").agg(F.count("*").alias("n"))
+             .where(F.col("n") >= least_docs).select("word").collect())
+    words = sorted(r.word for r in often)
+    shared = docs.sparkSession.sparkContext.broadcast(words)  # bounded by the training rows
+
+    def numbered(batches):
+        import pandas as pd
+        number = {w: i for i, w in enumerate(shared.value)}
+        for batch in batches:
+            found = [[np.array([number[w] for w in s if w in number], np.int32) for s in bag]
+                     for bag in bags(batch["text"].tolist())]
+            yield pd.DataFrame({"toxic": batch["toxic"], "doc_id": batch["doc_id"],
+                                "sizes": [np.array([len(s) for s in d], "<i4").tobytes() for d in found],
+                                "ids": [np.concatenate([*d, np.zeros(0, np.int32)]).astype("<i4").tobytes() for d in found]})
+
+    docs_, labels_ = [], []
+    for r in (spread.mapInPandas(numbered, "toxic long, doc_id long, sizes binary, ids binary")
+              .orderBy("doc_id", "ids").collect()):
+        ids, ends = np.frombuffer(r.ids, "<i4"), np.cumsum(np.frombuffer(r.sizes, "<i4"))
+        docs_.append(np.split(ids, ends[:-1]) if len(ends) else [])
+        labels_.append(int(r.toxic > 0))
+    return fit_ids(words, docs_, labels_)
 
 
 def score(docs: DataFrame, model: dict, threshold: float = 0.5) -> DataFrame:
