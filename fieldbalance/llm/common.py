@@ -34,6 +34,39 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def dropped(*tables: DataFrame) -> None:
+    """Remove stored tables that nothing will read again."""
+    for df in tables:
+        spark = df.sparkSession
+        for folder in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
+            path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+#: 64-bit words of a bit filter: at most this many rows are broadcast, whatever the input.
+FILTER_WORDS = 1 << 17
+
+
+def _bit(column: str) -> tuple[Column, Column]:
+    place = F.pmod(F.xxhash64(column), F.lit(FILTER_WORDS * 64))
+    return F.shiftrightunsigned(place, 6), (place % 64).cast("int")
+
+
+def maybe_among(rows: DataFrame, column: str, keys: DataFrame) -> DataFrame:
+    """The rows whose key may be one of the keys: all that are, and some that are not.
+
+    For a join that would otherwise shuffle all rows. The keys become a bit filter of
+    fixed size, so it can be broadcast; a crowded filter lets more rows through.
+    """
+    word, bit = _bit("key")
+    held = (keys.select(keys.columns[0]).toDF("key").select(
+        word.alias("_word"), F.call_function("shiftleft", F.lit(1).cast("long"), bit).alias("bit"))
+        .groupBy("_word").agg(F.bit_or("bit").alias("_mask")))
+    word, bit = _bit(column)
+    on = F.call_function("shiftright", F.col("_mask"), bit).bitwiseAND(F.lit(1).cast("long")) == 1
+    return rows.join(F.broadcast(held), (word == F.col("_word")) & on).drop("_word", "_mask")
+
+
 def tasks(df: DataFrame) -> DataFrame:
     """At least one partition per core, so that a small scan uses all of them."""
     cores = df.sparkSession.sparkContext.defaultParallelism

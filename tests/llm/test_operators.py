@@ -289,3 +289,29 @@ def test_pipeline(spark, sf_dir):
     out = corpus_pipeline.run(spark, sf_dir).collect()
     assert Counter(r.doc_id for r in out) == Counter(r.doc_id for r in docs.collect())
     assert all(r.n_tokens == len(r.ids) and r.ids[-1] == 0 for r in out)
+
+
+def test_ngram_join_repeated_and_missing_ids(spark):
+    """Ids do not name rows: two texts under one id, and none at all, both with twins."""
+    text = {k: " ".join(f"{k}{i}" for i in range(30)) for k in "abcd"}
+    data = [(1, text["a"]), (1, text["b"]), (2, text["a"]), (3, text["b"]), (None, text["c"]), (5, text["c"]), (6, text["c"]),
+            (None, text["d"]), (None, text["d"]), (None, None)]
+    docs = spark.createDataFrame([(d, t, "en", "s", 0, 7, 8) for d, t in data], DOCS + ", row long, root long")
+    got = sorted(((r.doc_id, r.component_id) for r in ngram_join.similar(docs).collect()), key=str)
+    assert got == sorted([(1, 1), (1, 1), (2, 1), (3, 1), (None, 5), (5, 5), (6, 5), (None, None), (None, None), (None, None)],
+                         key=str)
+    kept = ngram_join.first_of_each(docs)
+    assert kept.columns == docs.columns
+    assert sorted(((r.doc_id, (r.text or "-")[:1]) for r in kept.collect()), key=str) == sorted(
+        [(1, "a"), (1, "b"), (5, "c"), (None, "d"), (None, "-")], key=str)
+
+
+def test_ngram_join_heavy_and_light_classes(spark, monkeypatch):
+    """Copies of a large class follow one row, those of a small one are searched; the result is the same."""
+    texts = [" ".join(f"t{k}w{i}" for i in range(40)) for k in range(5)]
+    docs = [(i, texts[i % 5] + (" more" if i % 7 == 0 else "")) for i in range(100)]
+    df = spark.createDataFrame([(d, t, "en", "s", 0) for d, t in docs], DOCS)
+    want = brute_groups(docs)
+    for heavy in (1, 20, 10_000):
+        monkeypatch.setattr(ngram_join, "HEAVY", heavy)
+        assert sorted((r.doc_id, r.n_shingles, r.component_id) for r in ngram_join.similar(df).collect()) == want
