@@ -27,10 +27,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
-    """The rows as a table in the shared folder: lineage ends there, executors may go."""
+def stored(df: DataFrame, name: str, row_group_bytes: int = 128 << 20) -> DataFrame:
+    """The rows as a table in the shared folder: lineage ends there, executors may go.
+
+    A writer holds a row group in memory; wide rows that do not compress take smaller ones.
+    """
     path = new_shared_path(df.sparkSession, name)
-    df.write.parquet(path)
+    df.write.option("parquet.block.size", row_group_bytes).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

@@ -38,10 +38,19 @@ class Items:
         self.n, self.odd = n, _constants(permutations)
         self.sets = {}
         self.classes: dict[int, list[dict]] = {}
+        # Items of fewer words, by their number: the whole sequence is the one shingle.
+        self.short: dict[int, dict[int, list]] = {}
+        longer = []
         for item_id, text in rows:
-            if len(byte_words(text)) < n:
+            length = len(byte_words(text))
+            if not length:
                 continue
             shingles = np.unique(_shingles(text, n))
+            if length < n:
+                self.sets[item_id] = shingles
+                self.short.setdefault(length, {}).setdefault(int(shingles[0]), []).append(item_id)
+                continue
+            longer.append(shingles)
             size = SMALLEST
             while size < len(shingles):
                 size *= 2
@@ -49,12 +58,22 @@ class Items:
             tables = self.classes.setdefault(size, [{} for _ in self.odd])
             for i, odd in enumerate(self.odd):
                 tables[i].setdefault(int(_hashed(shingles, odd).min()), []).append(item_id)
-        held = np.unique(np.concatenate([*self.sets.values(), np.zeros(0, np.uint64)]))
+        held = np.unique(np.concatenate([*longer, np.zeros(0, np.uint64)]))
         self.mask = np.uint64((1 << max(16, int(16 * len(held)).bit_length())) - 1)
         self.known, self.marks = held, np.zeros(int(self.mask) + 1, bool)
         self.marks[held & self.mask] = True
         self.keys = {size: [np.array(sorted(t), np.uint64) for t in tables] for size, tables in self.classes.items()}
 
+    def short_items(self, hashes) -> dict:
+        """Items of fewer than n words that stand in a document, given the hashes of its words."""
+        import numpy as np
+        found = {}
+        for length, held in self.short.items():
+            if len(hashes) >= length:
+                for value in np.intersect1d(shingle_hashes(hashes, length), np.array(list(held), np.uint64)):
+                    found.update(dict.fromkeys(held[int(value)], 1.0))
+        return found
+
     def touches(self, shingles) -> bool:
         """Whether any shingle is one of an item's; without one no MinHash value can agree."""
         import numpy as np
@@ -95,9 +114,11 @@ def contaminated(docs: DataFrame, items: DataFrame, words: int = WORDS, threshol
     """doc_id, text_key (hash of the text), items (ids, ascending), containment (largest) per row with a hit.
 
     An item is found when at least `threshold` of its distinct shingles (case of A-Z
-    ignored) stand in the document, the whole text counted. Items of fewer than `words`
-    words, null texts and null ids take no part. Items are searched in blocks of a fixed
-    size, every block against all rows. Empty tables give no rows.
+    ignored) stand in the document, the whole text counted. An item of fewer than `words`
+    words is found when its whole sequence stands there. Items without words or id and
+    null texts take no part; a text of any length is searched whole; repeated rows are
+    rows of their own. Items are searched in blocks of a fixed size, every block against
+    all rows. Empty tables give no rows.
     """
     schema = "doc_id long, text_key long, items array<long>, containment double"
     spark = docs.sparkSession
@@ -115,8 +136,9 @@ def contaminated(docs: DataFrame, items: DataFrame, words: int = WORDS, threshol
             for batch in batches:
                 out = []
                 for doc_id, key, text in zip(batch["doc_id"], batch["text_key"], batch["text"]):
-                    shingles = _shingles(text, words)
-                    hits = {}
+                    hashes = word_hashes(byte_words(text, lower=True))
+                    shingles = shingle_hashes(hashes, words)
+                    hits = index.short_items(hashes)
                     found = index.candidates(shingles)
                     if found:
                         whole = np.unique(shingles)
@@ -141,6 +163,11 @@ def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def clean(docs: DataFrame, items: DataFrame, **settings) -> DataFrame:
-    """The rows of docs that hold no item, with their columns."""
+    """The rows of docs that hold no item, with their columns, whatever their names.
+
+    Rows that share id and text go or stay together; null and empty texts stay.
+    """
     found = contaminated(docs, items, **settings).select(F.col("doc_id").alias("d"), F.col("text_key").alias("k"))
-    return docs.join(found, docs["doc_id"].eqNullSafe(F.col("d")) & (F.xxhash64(docs["text"]) == F.col("k")), "left_anti")
+    whole = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"))
+    same = F.col("doc.doc_id").eqNullSafe(F.col("d")) & (F.xxhash64("doc.text") == F.col("k"))
+    return whole.join(found, same, "left_anti").select("doc.*")

@@ -133,8 +133,13 @@ def op6_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def mixed(docs: DataFrame, **settings) -> DataFrame:
-    """The rows of docs as often as the mix takes them, with their columns."""
-    d = stored(docs.withColumn("_row", F.monotonically_increasing_id()), "mix-docs")
-    plan = mix(d, row=F.col("_row"), **settings).where("repeats > 0").select(F.col("row").alias("_row"), "repeats")
+    """The rows of docs as often as the mix takes them, with their columns, whatever their names.
+
+    Rows are told apart by a number of their own, so ids may repeat or be missing.
+    """
+    d = stored(docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"),
+                           F.monotonically_increasing_id().alias("row")), "mix-docs")
+    plan = (mix(d.select("doc.doc_id", "doc.source", "doc.text", "row"), row=F.col("row"), **settings)
+            .where("repeats > 0").select("row", "repeats"))
     times = F.explode(F.sequence(F.lit(1).cast("long"), F.col("repeats")))
-    return d.join(plan, "_row").select(*docs.columns, times.alias("_time")).drop("_time")
+    return d.join(plan, "row").select("doc", times.alias("time")).select("doc.*")

@@ -183,7 +183,8 @@ def accepted(docs: DataFrame, model: dict, threshold: float = 0.5) -> DataFrame:
 
 
 def held_out(column: str = "doc_id"):
-    return F.crc32(F.col(column).cast("string").cast("binary")) % 5 == 0
+    """Whether a row's label is kept from training; a row without an id has no label to keep."""
+    return F.coalesce(F.crc32(F.col(column).cast("string").cast("binary")) % 5 == 0, F.lit(False))
 
 
 def trained(spark: SparkSession, sf_dir: str) -> dict:

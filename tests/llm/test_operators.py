@@ -315,3 +315,19 @@ def test_ngram_join_heavy_and_light_classes(spark, monkeypatch):
     for heavy in (1, 20, 10_000):
         monkeypatch.setattr(ngram_join, "HEAVY", heavy)
         assert sorted((r.doc_id, r.n_shingles, r.component_id) for r in ngram_join.similar(df).collect()) == want
+
+
+def test_short_items_and_clashing_names(spark, odd_docs):
+    items = spark.createDataFrame([(1, "Alpha beta"), (2, "beta"), (3, "alpha beta gamma delta"), (4, ""), (5, None),
+                                   (6, "one two three four five six")], "item_id long, text string")
+    docs = spark.createDataFrame([(1, "x ALPHA  beta y", 1, 2, 3), (2, "alpha x beta", 1, 2, 3), (3, "alpha", 1, 2, 3),
+                                  (4, "z alpha beta gamma delta", 1, 2, 3), (5, None, 1, 2, 3), (6, "", 1, 2, 3),
+                                  (7, "go one two three four five six", 1, 2, 3)],
+                                 "doc_id long, text string, d long, k long, doc long")
+    got = {r.doc_id: r["items"] for r in decontaminate.contaminated(docs, items).collect()}
+    assert got == {1: [1, 2], 2: [2], 4: [1, 2, 3], 7: [6]}
+    kept = decontaminate.clean(docs, items)
+    assert kept.columns == docs.columns and sorted(r.doc_id for r in kept.collect()) == [3, 5, 6]
+    named = odd_docs.withColumnsRenamed({"row": "_row", "set": "_time", "size": "doc"})
+    mixed = mixing.mixed(named)
+    assert mixed.columns == named.columns and {r["_row"] for r in mixed.collect()} == {1}
