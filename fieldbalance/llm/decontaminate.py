@@ -33,7 +33,7 @@ def _hashed(shingles, odd):
 class Items:
     """A bounded block of items: shingle sets, and MinHash values by size class."""
 
-    def __init__(self, rows, n: int, permutations: int):
+    def __init__(self, rows, n: int, permutations: int, least: int):
         import numpy as np
         self.n, self.odd = n, _constants(permutations)
         self.sets = {}
@@ -43,7 +43,7 @@ class Items:
         longer = []
         for item_id, text in rows:
             length = len(byte_words(text))
-            if not length:
+            if length < least:
                 continue
             shingles = np.unique(_shingles(text, n))
             if length < n:
@@ -110,13 +110,13 @@ class Items:
 
 
 def contaminated(docs: DataFrame, items: DataFrame, words: int = WORDS, threshold: float = THRESHOLD,
-                 permutations: int = PERMUTATIONS, block: int = BLOCK) -> DataFrame:
+                 permutations: int = PERMUTATIONS, block: int = BLOCK, least_words: int = WORDS) -> DataFrame:
     """doc_id, text_key (hash of the text), items (ids, ascending), containment (largest) per row with a hit.
 
     An item is found when at least `threshold` of its distinct shingles (case of A-Z
     ignored) stand in the document, the whole text counted. An item of fewer than `words`
-    words is found when its whole sequence stands there. Items without words or id and
-    null texts take no part; a text of any length is searched whole; repeated rows are
+    words is found when its whole sequence stands there. Items of fewer than `least_words`
+    words, items without words or id and null texts take no part; a text of any length is searched whole; repeated rows are
     rows of their own. Items are searched in blocks of a fixed size, every block against
     all rows. Empty tables give no rows.
     """
@@ -132,7 +132,7 @@ def contaminated(docs: DataFrame, items: DataFrame, words: int = WORDS, threshol
         def search(batches, shared=shared):
             import numpy as np
             import pandas as pd
-            index = Items(shared.value, words, permutations)
+            index = Items(shared.value, words, permutations, max(1, least_words))
             for batch in batches:
                 out = []
                 for doc_id, key, text in zip(batch["doc_id"], batch["text_key"], batch["text"]):
@@ -159,7 +159,7 @@ def contaminated(docs: DataFrame, items: DataFrame, words: int = WORDS, threshol
 
 
 def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), least_words=1)
 
 
 def clean(docs: DataFrame, items: DataFrame, **settings) -> DataFrame:

@@ -324,9 +324,9 @@ def test_short_items_and_clashing_names(spark, odd_docs):
                                   (4, "z alpha beta gamma delta", 1, 2, 3), (5, None, 1, 2, 3), (6, "", 1, 2, 3),
                                   (7, "go one two three four five six", 1, 2, 3)],
                                  "doc_id long, text string, d long, k long, doc long")
-    got = {r.doc_id: r["items"] for r in decontaminate.contaminated(docs, items).collect()}
+    got = {r.doc_id: r["items"] for r in decontaminate.contaminated(docs, items, least_words=1).collect()}
     assert got == {1: [1, 2], 2: [2], 4: [1, 2, 3], 7: [6]}
-    kept = decontaminate.clean(docs, items)
+    kept = decontaminate.clean(docs, items, least_words=1)
     assert kept.columns == docs.columns and sorted(r.doc_id for r in kept.collect()) == [3, 5, 6]
     named = odd_docs.withColumnsRenamed({"row": "_row", "set": "_time", "size": "doc"})
     mixed = mixing.mixed(named)
