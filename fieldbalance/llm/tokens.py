@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import os
 import zlib
 
@@ -19,36 +20,133 @@ def public_vocabulary() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
+#: A task remembers at most so many pieces, and so many of their characters.
+PIECES = 500_000
+PIECE_CHARACTERS = 16 << 20
+#: Characters of text that leave a task together; a longer text leaves alone.
+BATCH_CHARACTERS = 1 << 20
+
+
+class _Uneven(Exception):
+    """A space beside other white space, where a text may not be cut."""
+
+
+class _Pieces(dict):
+    """Token ids of texts, each piece between two spaces encoded once while it is held.
+
+    Keys are pieces without the space before them, values their places in `ids`, cut by
+    `ends`. Place 0 is the end of a document.
+    """
+
+    def __init__(self, encode, end: int):
+        self.encode, self.end = encode, end
+        self.forget()
+
+    def forget(self) -> None:
+        import numpy as np
+        self.clear()
+        self.new, self.characters = [], 0
+        self.ids, self.ends = np.array([self.end], np.int32), np.array([0, 1])
+
+    def add(self, text: str) -> int:
+        self.new.append(text)
+        self.characters += len(text)
+        return len(self.ends) - 2 + len(self.new)
+
+    def __missing__(self, piece: str) -> int:
+        if not piece or piece[0].isspace() or piece[-1].isspace():
+            raise _Uneven
+        place = self[piece] = self.add(" " + piece)
+        return place
+
+    def places(self, text: str) -> list[int]:
+        """A text as places: its first piece has no space before it. An uneven text stays whole."""
+        if not text:
+            return [0]
+        head, *rest = text.split(" ")
+        if rest and head and not head[-1].isspace():
+            try:
+                rest = list(map(self.__getitem__, rest))
+                return [self.add(head), *rest, 0]
+            except _Uneven:
+                pass
+        return [self.add(text), 0]
+
+    def tokens(self, texts: list[str]):
+        """(offsets, ids) of the texts one after the other, the end id after each."""
+        import numpy as np
+        if len(self) > PIECES or self.characters > PIECE_CHARACTERS:
+            self.forget()
+        found = [np.array(self.places(text)) for text in texts]
+        # An encoding takes far more memory than its ids: some pieces at a time.
+        lists = []
+        for at in range(0, len(self.new), 1024):
+            lists += self.encode(self.new[at:at + 1024])
+        self.new = []
+        self.ids = np.concatenate([self.ids, *lists])
+        self.ends = np.concatenate([self.ends, self.ends[-1] + np.cumsum([len(x) for x in lists], dtype=np.int64)])
+        at = np.concatenate(found)
+        start, size = self.ends[at], self.ends[at + 1] - self.ends[at]
+        after = np.cumsum(size)
+        ids = self.ids[np.arange(after[-1]) + np.repeat(start - after + size, size)]
+        return np.concatenate([[0], after[np.cumsum([len(f) for f in found]) - 1]]), ids
+
+
+def _cuts_at_spaces(tokenizer) -> bool:
+    """Whether a space between two other characters always begins a new word of the tokenizer.
+
+    So it is for the byte-level pattern; an added token must not hold or eat spaces.
+    """
+    parts = json.loads(tokenizer.to_str())
+    before = parts["pre_tokenizer"] or {}
+    return (before.get("type") == "ByteLevel" and before.get("use_regex", True)
+            and not before["add_prefix_space"] and parts["normalizer"] is None and parts["truncation"] is None
+            and not any(" " in t["content"] or t["lstrip"] or t["rstrip"] or t["single_word"]
+                        for t in parts["added_tokens"]))
+
+
 def write_tokens(docs: DataFrame, path: str, vocabulary: str, encoding: str = "delta",
                  row_group_bytes: int = 32 << 20, page_rows: int = 2000, end: int = END,
                  files: int | None = None) -> None:
     """Write doc_id, part, n_tokens, ids in ascending doc_id order.
 
     A null text counts as empty and has the end id only. Other columns are not
-    written. Rows that share a doc_id all stay. encoding "delta" writes integers
-    delta-packed, "dictionary" through a dictionary of ids.
+    written. Rows that share a doc_id all stay. A text of any length is encoded whole; an
+    empty table gives no rows. encoding "delta" writes integers delta-packed, "dictionary"
+    through a dictionary of ids. Where the tokenizer cuts at single spaces anyway, pieces
+    between spaces are looked up and only new ones encoded, with the same ids.
     """
     def encode(batches):
         import numpy as np
-        import pandas as pd
+        import pyarrow as pa
         from tokenizers import Tokenizer
         # Spark's tasks are the threads; more would only hold more memory.
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         tokenizer = Tokenizer.from_file(vocabulary)
+        pieces = _Pieces(lambda texts: [np.array(e.ids, np.int32) for e in tokenizer.encode_batch_fast(
+            texts, add_special_tokens=False)], end)
+        if not _cuts_at_spaces(tokenizer):
+            pieces.places = lambda text: [pieces.add(text), 0] if text else [0]
         for batch in batches:
-            texts = [t if t is not None else "" for t in batch["text"]]
-            # A few texts at a time: an encoding takes far more memory than its ids.
-            for start in range(0, len(texts), 16):
-                ids = [np.array(e.ids + [end], np.int32)
-                       for e in tokenizer.encode_batch_fast(texts[start:start + 16], add_special_tokens=False)]
-                yield pd.DataFrame({"doc_id": batch["doc_id"].iloc[start:start + 16].to_numpy(),
-                                    "n_tokens": [len(i) for i in ids], "ids": ids})
+            texts = [t or "" for t in batch["text"].to_pylist()]
+            at = 0
+            while at < len(texts):
+                stop, characters = at, 0
+                while stop < len(texts) and (stop == at or characters + len(texts[stop]) <= BATCH_CHARACTERS):
+                    characters += len(texts[stop])
+                    stop += 1
+                offsets, ids = pieces.tokens(texts[at:stop])
+                yield pa.RecordBatch.from_arrays(
+                    [batch["doc_id"].slice(at, stop - at), pa.array(np.diff(offsets)),
+                     pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(ids, pa.int32()))],
+                    ["doc_id", "n_tokens", "ids"])
+                at = stop
 
     spark = docs.sparkSession
-    wanted = docs.select("doc_id", "text")
+    wanted = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     count = files or max(spark.sparkContext.defaultParallelism, wanted.rdd.getNumPartitions())
     (wanted.repartitionByRange(count, "doc_id").sortWithinPartitions("doc_id")
-     .mapInPandas(encode, "doc_id long, n_tokens long, ids array<int>")
+     .mapInArrow(encode, "doc_id long, n_tokens long, ids array<int>")
      .withColumn("part", F.spark_partition_id())
      .write.option("parquet.block.size", row_group_bytes)
      .option("parquet.page.row.count.limit", page_rows)
@@ -66,17 +164,19 @@ def token_index(spark: SparkSession, path: str) -> DataFrame:
     """doc_id, start, n_tokens, ids_crc32 of every document, from the files alone."""
     def digest(batches):
         import numpy as np
-        import pandas as pd
+        import pyarrow as pa
         for batch in batches:
-            yield pd.DataFrame({
-                "doc_id": batch["doc_id"], "part": batch["part"], "n_tokens": [len(i) for i in batch["ids"]],
-                "ids_crc32": [zlib.crc32(np.asarray(i, "<u4").tobytes()) for i in batch["ids"]]})
+            ids, ends = batch["ids"].values.to_numpy(zero_copy_only=False).astype("<u4", copy=False), batch["ids"].offsets.to_numpy()
+            yield pa.RecordBatch.from_arrays(
+                [batch["doc_id"], batch["part"], pa.array(np.diff(ends).astype(np.int64)),
+                 pa.array([zlib.crc32(ids[a:b]) for a, b in zip(ends[:-1], ends[1:])], pa.int64())],
+                ["doc_id", "part", "n_tokens", "ids_crc32"])
 
     files = spark.read.parquet(path).select("part", "n_tokens").groupBy("part").agg(F.sum("n_tokens").alias("n"))
     # One row per file.
     at = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     offsets = files.withColumn("offset", F.coalesce(F.sum("n").over(at), F.lit(0))).select("part", "offset")
-    rows = read_tokens(spark, path, ("doc_id", "part", "ids")).mapInPandas(
+    rows = read_tokens(spark, path, ("doc_id", "part", "ids")).mapInArrow(
         digest, "doc_id long, part int, n_tokens long, ids_crc32 long")
     before = Window.partitionBy("part").orderBy("doc_id").rowsBetween(Window.unboundedPreceding, -1)
     return (rows.withColumn("within", F.coalesce(F.sum("n_tokens").over(before), F.lit(0)))
