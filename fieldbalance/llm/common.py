@@ -27,14 +27,23 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def stored(df: DataFrame, name: str, row_group_bytes: int = 128 << 20) -> DataFrame:
     """The rows as a table in the shared folder: lineage ends there, executors may go.
 
     A writer holds a row group in memory; wide rows that do not compress take smaller ones.
     """
-    path = new_shared_path(df.sparkSession, name)
-    df.write.option("parquet.block.size", row_group_bytes).parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    spark, path = df.sparkSession, new_shared_path(df.sparkSession, name)
+    before = spark.conf.get(CLEANUP)
+    # Nothing reads the shuffles of a finished write: their files go at once.
+    spark.conf.set(CLEANUP, "true")
+    try:
+        df.write.option("parquet.block.size", row_group_bytes).parquet(path)
+    finally:
+        spark.conf.set(CLEANUP, before)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def dropped(*tables: DataFrame) -> None:

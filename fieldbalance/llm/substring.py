@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fieldbalance.llm.common import byte_words, shingle_hashes, stored, table, tasks, word_hashes
+from fieldbalance.llm.common import byte_words, dropped, shingle_hashes, stored, table, tasks, word_hashes
 
 WINDOW = 35
 #: Words of the k-gram that decides the shard of a window.
@@ -153,8 +153,12 @@ def repeats(rows: DataFrame, window: int = WINDOW, anchor: int = ANCHOR, hot: in
 
     pieces = stored(wanted.join(rows.select("row", "text"), "row").select("row", "text", "segments").mapInPandas(
         cut, "row long, start int, anchor long, digest binary, words array<long>"), "pieces")
+    dropped(segments, met)
     distinct = stored(pieces.groupBy("digest").agg(F.first("words", True).alias("words"), F.count("*").alias("times"),
                                                    F.first("anchor").alias("anchor")), "distinct-pieces")
+    # The words of a piece are in distinct now.
+    places = stored(pieces.select("row", "start", "digest"), "places")
+    dropped(pieces)
     hot_anchors = stored(distinct.groupBy("anchor").count().where(F.col("count") > hot).select("anchor"), "hot")
     cold = distinct.join(hot_anchors, "anchor", "left_anti").select("digest", "words", "times", F.col("anchor").alias("shard"))
 
@@ -174,6 +178,7 @@ def repeats(rows: DataFrame, window: int = WINDOW, anchor: int = ANCHOR, hot: in
     dealt = (single.groupBy("digest").agg(F.first("words").alias("words"), F.sum("times").alias("times"))
              .withColumn("shard", F.xxhash64("digest")))
     units = stored(cold.unionByName(dealt), "units")
+    dropped(distinct, hot_anchors)
     total = units.agg(F.sum(F.size("words"))).first()[0] or 0
     shards = max(rows.sparkSession.sparkContext.defaultParallelism, -(-total // shard_words))
 
@@ -195,10 +200,12 @@ def repeats(rows: DataFrame, window: int = WINDOW, anchor: int = ANCHOR, hot: in
 
     found = stored(units.repartition(shards, "shard").select("digest", "words", "times").mapInPandas(
         search, "digest binary, offsets array<int>"), "found")
+    dropped(units)
     of_hot = (single.select("piece", "offset", "digest").join(found.select("digest"), "digest")
               .groupBy(F.col("piece").alias("digest")).agg(F.collect_list("offset").alias("offsets")))
     per_piece = stored(found.unionByName(of_hot), "found-pieces")
-    return (pieces.select("row", "start", "digest").join(per_piece, "digest")
+    dropped(single, found)
+    return (places.join(per_piece, "digest")
             .groupBy("row").agg(F.flatten(F.collect_list(F.transform("offsets", lambda o: o + F.col("start")))).alias("starts")))
 
 
