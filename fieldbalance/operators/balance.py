@@ -4,12 +4,12 @@ from __future__ import annotations
 
 import re
 import sys
-from collections.abc import Callable, Iterable, Sequence
-from itertools import islice, repeat
-from math import copysign, inf, isnan, nan
+from collections.abc import Iterable, Iterator
+from math import nan
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -20,117 +20,171 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 # Fixed value of the readily-available-water term.
 RAW_FACTOR = 0.0073
 
-_TREATMENT_COLUMNS = ["irrigation", "n_rate", "wt0", "ws0", "awhc", "awhcs"]
-STATES = ["ws", "es", "wt", "raw", "ex", "aet", "drainage"]
-
-
-def _ratio(a: float, b: float) -> float:
-    if b:
-        return a / b
-    return nan if isnan(a) or a == 0 else copysign(inf, a)
-
+# States of a block of sites that are walked side by side; a block holds at least one site.
+BLOCK_STATES = 1 << 18
 
-def _deficits(pet: Sequence[float], rain: Sequence[float], measured: Iterable[float],
-              wt0: float, ws0: float, awhc: float, awhcs: float) -> tuple[list, list]:
-    """Deficits of the profile and of its top store, day after day.
-
-    Comparisons are arranged so that a NaN on either side wins, which is how a
-    missing day makes all later deficits missing.
-    """
-    wt, ws = wt0, ws0
-    wts, wss = [wt], [ws]
-    for e, p, seen in islice(zip(pet, rain, measured), 1, None):
-        es = awhcs + ws
-        es = es if es <= e or es != es else e
-        top = ws + p - es
-        ws = top if top < 0.0 or top != top else 0.0
-        held = awhc + wt
-        left = awhc - RAW_FACTOR * (e * held)
-        ex = e * (held / left if left else _ratio(held, left))
-        ex = es if es > ex or es != es else ex
-        aet = e if e < ex or e != e else ex
-        level = seen if seen == seen else wt + p - aet
-        wt = level if level < 0.0 or level != level else 0.0
-        wts.append(wt)
-        wss.append(ws)
-    return wts, wss
+_START = ["wt0", "ws0", "awhc", "awhcs"]
+STATES = ["ws", "es", "wt", "raw", "ex", "aet", "drainage"]
 
 
-def two_store_series(pet: np.ndarray, rain: np.ndarray, wt0: float, ws0: float,
-                     awhc: float, awhcs: float, measured: np.ndarray | None = None) -> np.ndarray:
-    """States of one series, a column of the result per day, rows as in ``STATES``.
+def two_store_states(pet: np.ndarray, rain: np.ndarray, wt0: np.ndarray, ws0: np.ndarray,
+                     awhc: np.ndarray, awhcs: np.ndarray,
+                     measured: np.ndarray | None = None) -> np.ndarray:
+    """States of many series side by side: state, day, series, states as in ``STATES``.
 
+    ``pet``, ``rain`` and ``measured`` have a row per day and a column per series.
     ``wt`` and ``ws`` are the deficits of the profile and of its top store, never
     above 0. Day one holds the start values. NaN stands for missing and passes
     through. A measured deficit, where there is one, replaces the modelled one.
-    Only the two deficits depend on the day before; the rest follows from them
-    for all days at once.
+    Only the two deficits depend on the day before, so the loop goes once over the
+    days, whatever the number of series; the rest follows for all days at once.
     """
-    out = np.zeros((len(STATES), len(pet)))
-    if not len(pet):
+    out = np.zeros((len(STATES), *pet.shape))
+    if not pet.size:
         return out
-    seen = repeat(nan) if measured is None else measured.tolist()
-    wt, ws = (np.array(v) for v in _deficits(pet.tolist(), rain.tolist(), seen,
-                                             wt0, ws0, awhc, awhcs))
-    e, p, before = pet[1:], rain[1:], wt[:-1]
+    wts, wss = np.empty(pet.shape), np.empty(pet.shape)
+    wts[0], wss[0] = wt0, ws0
+    seen = None if measured is None else ~np.isnan(measured)
     with np.errstate(divide="ignore", invalid="ignore"):
-        es = np.minimum(e, awhcs + ws[:-1])
+        for t in range(1, len(pet)):
+            e, p, wt, ws = pet[t], rain[t], wts[t - 1], wss[t - 1]
+            es = np.minimum(e, awhcs + ws)
+            held = awhc + wt
+            ex = np.maximum(es, e * (held / (awhc - RAW_FACTOR * (e * held))))
+            level = wt + p - np.minimum(e, ex)
+            if seen is not None:
+                level = np.where(seen[t], measured[t], level)
+            np.minimum(level, 0.0, out=wts[t])
+            np.minimum(ws + p - es, 0.0, out=wss[t])
+        e, p, before = pet[1:], rain[1:], wts[:-1]
+        es = np.minimum(e, awhcs + wss[:-1])
         held = awhc + before
         raw = RAW_FACTOR * (e * held)
         ex = np.maximum(es, e * (held / (awhc - raw)))
         aet = np.minimum(e, ex)
-        drainage = np.maximum(0.0, wt[1:] + before + p - aet)
-    out[0], out[2] = ws, wt
+        drainage = np.maximum(0.0, wts[1:] + before + p - aet)
+    out[0], out[2] = wss, wts
     for row, values in ((1, es), (3, raw), (4, ex), (5, aet), (6, drainage)):
         out[row, 1:] = values
     return out
 
 
+def two_store_series(pet: np.ndarray, rain: np.ndarray, wt0: float, ws0: float,
+                     awhc: float, awhcs: float, measured: np.ndarray | None = None) -> np.ndarray:
+    """States of one series, a column of the result per day, rows as in ``STATES``."""
+    return two_store_states(pet[:, None], rain[:, None], wt0, ws0, awhc, awhcs,
+                            None if measured is None else measured[:, None])[:, :, 0]
+
+
 def _floats(column: pa.ChunkedArray) -> np.ndarray:
     return column.to_numpy().astype(float)
 
 
-def _site_runner(level_columns: dict[int, str],
-                 out_schema: pa.Schema) -> Callable[[pa.Table, pa.Table], pa.Table]:
-    """All treatments of one site over its daily rows."""
-
-    def run(daily: pa.Table, treatments: pa.Table) -> pa.Table:
-        if not daily.num_rows or not treatments.num_rows:
-            return out_schema.empty_table()
-        daily = daily.sort_by("date")
-        day = daily["date"].cast(pa.int32()).to_numpy()
-        site = daily["site_id"][0].as_py()
-        if (np.diff(day) == 0).any():
-            raise ValueError(f"site {site} has two daily rows for one date")
-        pet = _floats(daily["pet"])
-        rain = {k: _floats(daily[c]) for k, c in level_columns.items()}
-        shared = [daily[c] for c in ("site_id", "date", "pet")]
-        columns = [treatments[c].to_pylist() for c in _TREATMENT_COLUMNS]
-        tables = []
-        for i, (irrigation, n_rate, *start) in enumerate(zip(*columns)):
-            if irrigation not in level_columns:
-                raise ValueError(f"no precipitation column for irrigation {irrigation}")
-            swd, found = None, treatments["measured"][i].values
-            if found is not None and len(found):
-                swd = np.full(len(day), nan)
-                when = found.field("date").cast(pa.int32()).to_numpy(zero_copy_only=False)
-                if (np.diff(when) == 0).any():
-                    raise ValueError(f"site {site} has two measured deficits for one date")
-                values = found.field("swd").to_numpy(zero_copy_only=False).astype(float)
-                at = np.searchsorted(day, when)
-                hit = (at < len(day)) & (day[np.minimum(at, len(day) - 1)] == when)
-                swd[at[hit]] = values[hit]
-            start = [nan if v is None else v for v in start]
-            states = two_store_series(pet, rain[irrigation], *start, measured=swd)
-            n = len(pet)
-            tables.append(pa.table(
-                [shared[0], pa.array([irrigation] * n, pa.int32()),
-                 pa.repeat(pa.scalar(n_rate, pa.string()), n), shared[1], shared[2],
-                 daily[level_columns[irrigation]],
-                 pa.array(swd if swd is not None else [None] * n, pa.float64(), from_pandas=True),
-                 *[pa.array(states[i], from_pandas=True) for i in range(len(STATES))]],
-                schema=out_schema))
-        return pa.concat_tables(tables)
+def _sites(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple[str, pa.Table]]:
+    """The rows of one site after the other, from batches in which sites are together."""
+    held, name = [], None
+    for batch in batches:
+        runs, start = pc.run_end_encode(batch.column("site_id")), 0
+        for end, site in zip(runs.run_ends.to_pylist(), runs.values.to_pylist()):
+            if held and site != name:
+                yield name, pa.Table.from_batches(held)
+                held = []
+            held.append(batch.slice(start, end - start))
+            name, start = site, end
+    if held:
+        yield name, pa.Table.from_batches(held)
+
+
+class _Site:
+    """Days and treatments of one site: the row with its treatments comes before its days."""
+
+    def __init__(self, name: str, rows: pa.Table, level_columns: dict[int, str]):
+        self.name = name
+        self.starts = rows["starts"][0].as_py() or []
+        daily = rows.slice(1) if self.starts else rows
+        self.day = daily["day"].to_numpy()
+        if not self.starts:
+            return
+        if (np.diff(self.day) == 0).any():
+            raise ValueError(f"site {name} has two daily rows for one date")
+        self.pet = _floats(daily["pet"])
+        missing = {s["irrigation"] for s in self.starts} - set(level_columns)
+        if missing and len(self.day):
+            raise ValueError(f"no precipitation column for irrigation {min(missing)}")
+        self.rain = {k: _floats(daily[c]) for k, c in level_columns.items()}
+
+    @property
+    def walks(self) -> bool:
+        return bool(self.starts) and len(self.day) > 0
+
+    def measured(self, start: dict) -> np.ndarray:
+        """The measured deficits of a treatment on its days; other days are missing."""
+        swd = np.full(len(self.day), nan)
+        found = start["measured"]
+        if found:
+            when = np.array([m["day"] for m in found])
+            if (np.diff(when) == 0).any():
+                raise ValueError(f"site {self.name} has two measured deficits for one date")
+            at = np.searchsorted(self.day, when)
+            hit = (at < len(self.day)) & (self.day[np.minimum(at, len(self.day) - 1)] == when)
+            swd[at[hit]] = np.array([m["swd"] for m in found], float)[hit]
+        return swd
+
+
+def _walk(sites: list[_Site], out_schema: pa.Schema) -> pa.RecordBatch:
+    """All series of some sites, padded to the longest at their ends."""
+    series = [(site, start) for site in sites for start in site.starts]
+    days = np.array([len(site.day) for site, _ in series])
+    longest = int(days.max())
+
+    def padded(values: Iterable[np.ndarray]) -> np.ndarray:
+        table = np.full((len(series), longest), nan)
+        for row, found in zip(table, values):
+            row[:len(found)] = found
+        return table
+
+    pet = padded(site.pet for site, _ in series)
+    rain = padded(site.rain[start["irrigation"]] for site, start in series)
+    swd = None
+    if any(start["measured"] for _, start in series):
+        swd = padded(site.measured(start) for site, start in series)
+    first = [np.array([start[c] for _, start in series], float) for c in _START]
+    across = [None if x is None else np.ascontiguousarray(x.T) for x in (pet, rain, swd)]
+    states = two_store_states(across[0], across[1], *first, measured=across[2])
+    inside = np.arange(longest) < days[:, None]
+    which = np.repeat(np.arange(len(series)), days)
+
+    def column(values: np.ndarray | None) -> pa.Array:
+        return (pa.nulls(len(which), pa.float64()) if values is None
+                else pa.array(values[inside], from_pandas=True))
+
+    dates = np.concatenate([site.day for site, _ in series])
+    return pa.RecordBatch.from_arrays(
+        [pa.array([site.name for site, _ in series], pa.string()).take(which),
+         pa.array(np.array([start["irrigation"] for _, start in series], np.int32)[which]),
+         pa.array([start["n_rate"] for _, start in series], pa.string()).take(which),
+         pa.array(dates, pa.int32(), from_pandas=True).cast(pa.date32()),
+         column(pet), column(rain), column(swd), *[column(state.T) for state in states]],
+        schema=out_schema)
+
+
+def _block_runner(level_columns: dict[int, str], out_schema: pa.Schema, block_states: int):
+    """Sites of a partition, some at a time: a block is bounded whatever the partition holds."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        block, longest, series = [], 0, 0
+        for name, rows in _sites(batches):
+            site = _Site(name, rows, level_columns)
+            if not site.walks:
+                continue
+            wider = max(longest, len(site.day)) * (series + len(site.starts))
+            if block and wider > block_states:
+                yield _walk(block, out_schema)
+                block, longest, series = [], 0, 0
+            block.append(site)
+            longest, series = max(longest, len(site.day)), series + len(site.starts)
+        if block:
+            yield _walk(block, out_schema)
 
     return run
 
@@ -162,14 +216,17 @@ def nested_resets(reset: DataFrame, same_day: str = "raise") -> DataFrame:
 
 
 def water_balance(daily: DataFrame, treatments: DataFrame, reset: DataFrame | None = None,
-                  pet_col: str = "pet", same_day: str = "raise") -> DataFrame:
+                  pet_col: str = "pet", same_day: str = "raise",
+                  block_states: int = BLOCK_STATES) -> DataFrame:
     """Daily states of every treatment of every site.
 
     Each day depends on the day before, so a site's days are walked in order;
-    sites are independent and run in parallel. Days and treatments meet as a
-    cogroup by site: one day is shuffled and handed to Python once, not once per
-    treatment. A site has one row per calendar day (two are an error), which
-    bounds the group.
+    sites are independent and run in parallel. Days and treatments meet in one
+    shuffle by site: a site is the row of its treatments, then its days, so one day is
+    shuffled and handed to Python once, not once per treatment. Python walks the
+    series of several sites side by side, one step per day for all of them, in blocks of
+    ``block_states`` states, so its memory does not grow with a partition. A site has one
+    row per calendar day (two are an error), which bounds what one site adds.
 
     ``daily`` has a ``precipitation_<level>`` column per irrigation level,
     ``treatments`` is made by ``balance_inputs``. ``reset`` optionally holds
@@ -182,16 +239,22 @@ def water_balance(daily: DataFrame, treatments: DataFrame, reset: DataFrame | No
               if (m := re.fullmatch(r"precipitation_(\d+)", c))}
     if not levels:
         raise ValueError("daily rows need a precipitation_<level> column")
-    days = daily.select("site_id", "date", F.col(pet_col).cast("double").alias("pet"),
-                        *levels.values())
+    days = daily.select("site_id", F.unix_date("date").alias("day"), F.col(pet_col).cast("double").alias("pet"),
+                        *[F.col(c).cast("double").alias(c) for c in levels.values()])
     starts = treatments.select("site_id", F.col("irrigation").cast("int").alias("irrigation"),
-                               "n_rate", "wt0", "ws0", "awhc", "awhcs")
+                               "n_rate", *_START)
     if reset is None:
         starts = starts.withColumn("measured", F.lit(None).cast("array<struct<date:date,swd:double>>"))
     elif "swd" not in reset.columns:
         raise ValueError("a reset table needs the measured deficit in column swd")
     else:
         starts = starts.join(nested_resets(reset, same_day), ["site_id", "irrigation", "n_rate"], "left")
-    states = (days.groupBy("site_id").cogroup(starts.groupBy("site_id"))
-              .applyInArrow(_site_runner(levels, _OUT), _OUT_DDL))
+    measured = F.transform("measured", lambda m: F.struct(F.unix_date(m["date"]).alias("day"), m["swd"].alias("swd")))
+    nested = starts.groupBy("site_id").agg(F.sort_array(F.collect_list(F.struct(
+        "irrigation", "n_rate", *[F.col(c).cast("double").alias(c) for c in _START],
+        measured.alias("measured")))).alias("starts"))
+    rows = days.unionByName(nested, allowMissingColumns=True)
+    states = (rows.repartition("site_id")
+              .sortWithinPartitions("site_id", F.col("starts").isNull(), F.col("day").asc_nulls_last())
+              .mapInArrow(_block_runner(levels, _OUT, block_states), _OUT_DDL))
     return states if reset is not None else states.drop("swd")

@@ -80,6 +80,12 @@ def layers_from_means(means: DataFrame) -> DataFrame:
     return means.select(*PROFILE_KEYS, rows).filter("seen").drop("seen")
 
 
+def named_layers(layers: DataFrame, layer_columns: Sequence[str] = LAYER_COLUMNS) -> DataFrame:
+    """The long layer table with the names of the sheet instead of numbers."""
+    names = F.create_map(*[F.lit(x) for name, k in layer_numbers(layer_columns).items() for x in (k, name)])
+    return layers.withColumn("variable", names[F.col("layer")]).drop("layer")
+
+
 def swd_from_means(means: DataFrame, max_depth: int = FULL_DEPTH,
                    pawc: float | None = None) -> DataFrame:
     water, seen = _water(means, max_depth)

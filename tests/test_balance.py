@@ -131,6 +131,26 @@ def test_equals_independent_loop(spark, partitions, reset):
         assert [r[s] for s in STATES] == pytest.approx(expected)
 
 
+@pytest.mark.parametrize("block_states", [1, 700, 10 ** 6])
+def test_sites_of_different_lengths_side_by_side(spark, block_states):
+    daily, starts, resets, want = make(spark, sites=6, days=60, partitions=2, seed=11)
+    # Site k ends k weeks early.
+    number = F.substring("site_id", 6, 2).cast("int")
+    short = daily.filter(F.col("date") < F.date_add(F.lit(DAY), 60 - 7 * number))
+    rows = water_balance(short, starts, resets, block_states=block_states).collect()
+    assert len(rows) == 4 * sum(60 - 7 * k for k in range(6))
+    for r in rows:
+        expected = want[r.site_id, r.irrigation, r.n_rate][True][(r.date - DAY).days]
+        assert [r[s] for s in STATES] == pytest.approx(expected)
+
+
+def test_a_day_is_shuffled_once_and_sites_need_no_group_of_their_own(spark):
+    daily, starts, _, _ = make(spark, sites=2)
+    plan = water_balance(daily, starts)._jdf.queryExecution().executedPlan().toString()
+    assert "CoGroup" not in plan and plan.count("MapInArrow") == 1
+    assert plan.count("REPARTITION_BY_COL") == 1
+
+
 def test_properties(spark):
     daily, starts, _, _ = make(spark, seed=3)
     rows = water_balance(daily, starts)
