@@ -542,12 +542,12 @@ def calendar_join(spark, sf):
 
 @query(f"SELECT {_PROFILE}, variable, {_r('sw')} FROM v_mean")
 def layer_mean(spark, sf):
-    return _rounded(soil.layer_mean(_kept(spark, sf)))
+    return _rounded(soil_sheet.named_layers(_layers(spark, sf)))
 
 
 @query(f"SELECT {_PROFILE}, layer, {_r('sw')} FROM v_layers")
 def layer_order(spark, sf):
-    return _rounded(soil.order_layers(soil.layer_mean(_kept(spark, sf)), LAYER_COLUMNS))
+    return _rounded(_layers(spark, sf))
 
 
 @query("""
