@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from fieldbalance.llm.common import table, word_count
@@ -28,60 +28,75 @@ def unescape(text: Column) -> Column:
 
 
 def windows(turns: DataFrame, budget: int = BUDGET, history: int = HISTORY) -> DataFrame:
-    """conv_id, window, text, n_system, n_repeated, loss (start, length in code points).
-
-    Turns are split where the running sum of their words passes a multiple of the budget
-    left by the system turn. Every later window repeats the system turn, if there is one,
-    and up to `history` turns before its own; only assistant texts of its own turns are
-    under the loss mask. A turn over the budget stays whole in its window. A null text is
-    empty, a null role is "unknown", a null conv_id is a conversation of its own; rows that
-    share a turn number are ordered by role and text. Roles are escaped like texts.
+    """conv_id, window, text, n_system, n_repeated, n_words, loss (start, length in code points).
+
+    Prefix sums of the turns' words choose the windows: each takes turns while the system
+    turn, what is repeated and its own turns stay within the budget. Every later window
+    repeats the system turn, if there is one, and as many of the last `history` turns before
+    its own as leave room for its first own turn; only assistant texts of its own turns are
+    under the loss mask. Only a window of one own turn, which does not fit with the system
+    turn, exceeds the budget; the first window also holds the system turn itself.
+    A null text is empty, a null role is "unknown", rows with a null conv_id are one
+    conversation, a null turn counts as 0; rows that share a turn number are ordered by role
+    and text, and repeated rows stay. Roles are escaped like texts. Long texts and long
+    conversations are formatted whole. Other columns are not read, an empty table gives no rows.
     """
-    turn = F.struct(F.coalesce("turn", F.lit(0)).alias("turn"), F.coalesce("role", F.lit("unknown")).alias("role"),
-                    F.coalesce("text", F.lit("")).alias("text"), word_count(F.col("text")).alias("words"))
-    c = turns.groupBy("conv_id").agg(F.sort_array(F.collect_list(turn)).alias("turns"))
-    system = (F.element_at("turns", 1)["role"] == "system").cast("int")
-    c = c.withColumn("n_first", system)
-    fixed = F.when(F.col("n_first") == 1, F.element_at("turns", 1)["words"]).otherwise(F.lit(0))
-    room = F.greatest(F.lit(1), F.lit(budget) - fixed)
-    # Prefix sums: words of all turns before each one.
-    c = c.select("conv_id", "n_first", F.posexplode("turns").alias("at", "t"), room.alias("room"))
-    from pyspark.sql import Window
-    before = Window.partitionBy("conv_id").orderBy("at")
-    own = F.when((F.col("at") == 0) & (F.col("n_first") == 1), F.lit(0)).otherwise(F.col("t.words"))
-    c = c.withColumn("sum", F.sum(own).over(before) - own)
-    c = c.withColumn("window", F.floor(F.col("sum") / F.col("room")))
-    mark = F.concat(F.lit(HEAD), F.replace(escape(F.col("t.role")), F.lit(MID), F.lit("\\m")), F.lit(MID))
-    c = c.withColumn("head", mark).withColumn("body", escape(F.col("t.text"))).withColumn(
-        "form", F.concat("head", "body", F.lit(END + "\n")))
-    item = F.struct("at", "form", F.length("head").alias("lead"), F.length("body").alias("size"),
-                    (F.col("t.role") == "assistant").alias("answer"))
-    # The turns just before a row, and the first turn, ride along for the window's opening.
-    c = (c.withColumn("item", item)
-         .withColumn("past", F.collect_list("item").over(before.rowsBetween(-history, -1)))
-         .withColumn("opening", F.first("form").over(before.rowsBetween(Window.unboundedPreceding, 0))))
-    w = (c.groupBy("conv_id", "window").agg(
-        F.sort_array(F.collect_list("item")).alias("own"), F.min_by("past", "at").alias("past"),
-        F.min_by("opening", "at").alias("opening"), F.max("n_first").alias("n_first")))
-    starts_later = F.element_at("own", 1)["at"] > 0
-    w = w.withColumn("n_system", F.when(starts_later, F.col("n_first")).otherwise(F.lit(0)))
-    w = w.withColumn("past", F.filter("past", lambda i: (F.col("n_first") == 0) | (i["at"] > 0)))
-    text = F.concat(F.when(F.col("n_system") == 1, F.col("opening")).otherwise(F.lit("")),
-                    F.array_join(F.transform("past", lambda i: i["form"]), ""))
-    w = w.withColumn("lead", text)
-    w = w.withColumn("text", F.concat("lead", F.array_join(F.transform("own", lambda i: i["form"]), "")))
+    t = turns.select("conv_id", F.coalesce("turn", F.lit(0)).alias("turn"), F.coalesce("role", F.lit("unknown")).alias("role"),
+                     F.coalesce("text", F.lit("")).alias("text"), word_count(F.col("text")).alias("words"))
+    so_far = Window.partitionBy("conv_id").orderBy("turn", "role", "text").rowsBetween(Window.unboundedPreceding, 0)
+    t = t.withColumn("sum", F.sum("words").over(so_far))
+    c = t.groupBy("conv_id").agg(F.sort_array(F.collect_list(F.struct("turn", "role", "text", "sum"))).alias("turns"))
+    c = c.withColumn("n_first", (F.element_at("turns", 1)["role"] == "system").cast("int"))
+    c = c.withColumn("sums", F.concat(F.array(F.lit(0).cast("long")), F.transform("turns", lambda t: t["sum"])))
+
+    def words(low, high):
+        """Words of the turns from low to high, and of the system turn if it stands before them."""
+        return F.get("sums", high) - F.get("sums", low) + F.when(low > 0, F.get("sums", F.col("n_first"))).otherwise(F.lit(0))
+
+    def reach(at):
+        """The first turn that a window opening at `at` repeats."""
+        return at - F.size(F.filter(F.sequence(F.lit(1), F.lit(max(1, history))), lambda h: (
+            (h <= history) & (h <= at - F.col("n_first")) & (words(at - h, at + 1) <= budget))))
+
+    def step(acc, at):
+        opens = (at > F.col("n_first")) & (words(acc["reach"], at + 1) > budget)
+        back = reach(at)
+        return F.struct(F.when(opens, back).otherwise(acc["reach"]).alias("reach"), F.when(opens, F.array_append(
+            acc["cuts"], F.struct(at.alias("at"), back.alias("reach")))).otherwise(acc["cuts"]).alias("cuts"))
+
+    none = F.struct(F.lit(0).alias("reach"), F.array(F.struct(F.lit(0).alias("at"), F.lit(0).alias("reach"))).alias("cuts"))
+    c = c.withColumn("cuts", F.aggregate(F.sequence(F.lit(0), F.size("turns") - 1), none, step, lambda acc: acc["cuts"]))
+
+    def item(t):
+        head = F.concat(F.lit(HEAD), F.replace(escape(t["role"]), F.lit(MID), F.lit("\\m")), F.lit(MID))
+        return F.struct(head.alias("head"), escape(t["text"]).alias("body"), (t["role"] == "assistant").alias("answer"))
+
+    c = c.withColumn("items", F.transform("turns", item))
+    end = lambda i: F.coalesce(F.get("cuts", i + 1)["at"], F.size("turns"))
+    c = c.select("conv_id", "n_first", F.inline(F.transform("cuts", lambda w, i: F.struct(
+        i.cast("long").alias("window"), F.when(w["at"] > 0, F.slice("items", 1, F.col("n_first"))).otherwise(
+            F.slice("items", 1, 0)).alias("opening"),
+        F.slice("items", w["reach"] + 1, w["at"] - w["reach"]).alias("past"),
+        F.slice("items", w["at"] + 1, end(i) - w["at"]).alias("own"), words(w["reach"], end(i)).alias("n_words")))))
+    form = lambda items: F.array_join(F.transform(items, lambda i: F.concat(
+        i["head"], i["body"], F.lit(END + "\n"))), "")
+    c = c.withColumn("lead", form(F.concat("opening", "past")))
     first = F.struct(F.length("lead").alias("at"), F.array().cast("array<struct<start:int,length:int>>").alias("spans"))
     loss = F.aggregate("own", first, lambda acc, i: F.struct(
-        (acc["at"] + F.length(i["form"])).alias("at"),
+        (acc["at"] + F.length(i["head"]) + F.length(i["body"]) + len(END) + 1).alias("at"),
         F.when(i["answer"], F.array_append(acc["spans"], F.struct(
-            (acc["at"] + i["lead"]).alias("start"), i["size"].alias("length")))).otherwise(acc["spans"]).alias("spans")),
-        lambda acc: acc["spans"])
-    return w.select("conv_id", "window", "text", "n_system", (F.col("n_system") + F.size("past")).alias("n_repeated"),
-                    loss.alias("loss"))
+            (acc["at"] + F.length(i["head"])).alias("start"), F.length(i["body"]).alias("length")))).otherwise(
+                acc["spans"]).alias("spans")), lambda acc: acc["spans"])
+    return c.select("conv_id", "window", F.concat("lead", form(F.col("own"))).alias("text"), F.size("opening").alias("n_system"),
+                    (F.size("opening") + F.size("past")).alias("n_repeated"), "n_words", loss.alias("loss"))
 
 
 def read_turns(windows_: DataFrame) -> DataFrame:
-    """conv_id, window, turns (role, text) of each window's own turns, and their loss texts."""
+    """conv_id, window, chars, turns (role, text) of each window's own turns, losses (their loss texts).
+
+    The inverse of `windows`: repeated turns are left out, escapes undone. Needs its columns
+    conv_id, window, text, n_repeated and loss; others are not read. No windows give no rows.
+    """
     parts = F.split("text", END + "\n", -1)
     parts = F.slice(parts, F.col("n_repeated") + 1, F.greatest(F.lit(0), F.size(parts) - 1 - F.col("n_repeated")))
     role = lambda p: F.substring_index(F.substr(p, F.lit(len(HEAD) + 1)), MID, 1)

@@ -20,6 +20,11 @@ BLOCK = set("address article aside blockquote body center dd details dialog dir
             "td tfoot th thead tr ul".split())
 CLOSES_ITSELF = {"li": {"ul", "ol", "menu"}, "dt": {"dl"}, "dd": {"dl"}, "tr": {"table", "tbody", "thead", "tfoot"},
                  "td": {"tr"}, "th": {"tr"}, "option": {"select"}}
+#: Elements that may stand in an open head; any other start tag ends it.
+IN_HEAD = set("base basefont bgsound head html link meta noframes noscript script style template title".split())
+#: Foreign or form content that a block inside it ends, unless an element of INSIDE lies between.
+ENDS_AT_BLOCK = {"svg", "math", "select"}
+INSIDE = {"foreignobject", "desc", "annotation-xml"}
 _word = re.compile(r"[a-z]+")
 
 
@@ -28,13 +33,26 @@ class Tree(HTMLParser):
 
     def __init__(self, html: str):
         super().__init__(convert_charrefs=True)
-        self.parent, self.tag, self.names, self.closed = [-1], ["#root"], [set()], [False]
+        self.parent, self.tag, self.names = [-1], ["#root"], [set()]
         self.pieces: list[tuple[int, str | None]] = []
-        self.stack, self.silent = [0], []
+        self.stack = [0]
         self.feed(html)
         self.close()
 
+    def _leave(self, tag):
+        """A head, drawing or selection left open ends where the body goes on."""
+        if self.tag[self.stack[-1]] == "head" and tag not in IN_HEAD:
+            self.stack.pop()
+        if tag in BLOCK and tag != "hr":
+            for i in range(len(self.stack) - 1, 0, -1):
+                if self.tag[self.stack[i]] in INSIDE:
+                    return
+                if self.tag[self.stack[i]] in ENDS_AT_BLOCK:
+                    del self.stack[i:]
+                    return
+
     def handle_starttag(self, tag, attrs):
+        self._leave(tag)
         if tag in BLOCK:
             self._pop({"p"}, {"button", "table", "#root"} | (BLOCK - {"p"}))
         if tag in CLOSES_ITSELF:
@@ -77,6 +95,8 @@ class Tree(HTMLParser):
             self.pieces.append((self.stack[-1], None))
 
     def handle_data(self, data):
+        if data.strip():
+            self._leave("")
         if not any(self.tag[i] in SILENT for i in self.stack):
             self.pieces.append((self.stack[-1], data))
 
@@ -226,7 +246,10 @@ def labelled_pages(count: int = 400, seed: int = 3) -> list[tuple[str, set]]:
 def extract(pages: DataFrame, model: dict) -> DataFrame:
     """page_id, url, text, n_chars per row; null, empty and contentless pages have an empty text.
 
-    Repeated rows stay, other columns are not read, an empty table gives no rows.
+    A head left open ends at the first element or text of the body, an open svg, math or
+    select at the next block; an open script, style or template hides the rest. Very long
+    pages are read whole, one at a time. Repeated rows and ids stay rows of their own, other
+    columns are not read, an empty table gives no rows.
     """
     def run(batches):
         for batch in batches:

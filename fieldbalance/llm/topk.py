@@ -15,23 +15,43 @@ BINS = 128
 
 def clean_vectors(df: DataFrame, id_column: str, vector: str, scale: int = 256) -> DataFrame:
     """(vec_id, v): components as floor(scale * x); vectors null, empty, or with a null or
-    non-finite component take no part, and neither do rows without an id."""
+    non-finite component take no part, and neither do rows without an id. A component from
+    2^62 on raises: no integer score could hold it. Other columns are not read."""
     v = F.col(vector)
+
+    def whole(x):
+        scaled = x.cast("double") * scale
+        return F.when(F.abs(scaled) < 2.0 ** 62, F.floor(scaled).cast("long")).otherwise(
+            F.raise_error(F.lit("a vector component is too large for integer scores")).cast("long"))
+
     fine = F.forall(v, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x.cast("double")) < float("inf")))
     return (df.where(F.col(id_column).isNotNull() & v.isNotNull() & (F.size(v) > 0) & F.coalesce(fine, F.lit(False)))
             .select(F.col(id_column).cast("long").alias("vec_id"),
-                    F.transform(v, lambda x: F.floor(x.cast("double") * scale).cast("long")).alias("v")))
+                    F.transform(v, whole).alias("v")))
 
 
 def _scored(batches, ids, matrix):
-    """(vec_ids, scores by query) per batch; vectors of another length than the queries' are skipped."""
+    """(vec_ids, scores by query) per batch; vectors of another length than the queries' are skipped.
+
+    Scores that doubles hold exactly come from a double product, larger ones from integers;
+    from 2^63 on they raise.
+    """
     import numpy as np
+    doubles = matrix.astype(np.float64)
+    most = np.abs(doubles).sum(axis=1).max(initial=0.0)
     for batch in batches:
         same = batch["v"].map(len).to_numpy() == matrix.shape[1]
         if same.any():
             got = batch["vec_id"].to_numpy()[same]
             block = np.stack(batch["v"].to_numpy()[same]).astype(np.int64)
-            yield got, matrix @ block.T, ids[:, None] != got[None, :]
+            bound = most * np.abs(block.astype(np.float64)).max()
+            if bound < 2.0 ** 52:
+                scores = (doubles @ block.T.astype(np.float64)).astype(np.int64)
+            elif bound < 2.0 ** 62:
+                scores = matrix @ block.T
+            else:
+                raise OverflowError("an inner product may not fit 64 bits")
+            yield got, scores, ids[:, None] != got[None, :]
 
 
 def top_k(vectors: DataFrame, queries: DataFrame, k: int = 5, block: int = BLOCK) -> DataFrame:
@@ -42,7 +62,9 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 5, block: int = BLOCK
     alone; then only scores at or above it leave the tasks. Ties go to the smaller
     vec_id, and a task keeps no more than k of the ties at the k-th value. Repeated
     vec_ids are rows of their own; a row with the query's own id is no candidate.
-    Fewer than k candidates: all. Empty tables give no rows.
+    Fewer than k candidates: all. Empty tables give no rows. A vector scores against
+    queries of its own length only. Products that 64 bits may not hold raise. Columns other
+    than vec_id and v are not read.
     """
     import numpy as np
     spark = vectors.sparkSession

@@ -1,6 +1,7 @@
 """Operators against brute force over the small tables and made-up edge cases."""
 
 import hashlib
+import html as references
 import re
 import zlib
 from collections import Counter
@@ -102,6 +103,35 @@ def test_html(spark, sf_dir):
         assert r.n_chars == len(r.text) and "track(" not in r.text
 
 
+def test_html_open_elements(spark):
+    model = html.train(html.labelled_pages())
+    article = "<article><h1>Title of it</h1><p>" + "plain words of a story " * 9 + "</p></article>"
+    want = "Title of it\n\n" + ("plain words of a story " * 9).strip()
+    pages = ["<html><head><title>x</title><body>" + article, "<head><meta charset=utf-8>" + article,
+             "<body><svg><title>x</title><path>" + article, "<body><select><option>one" + article,
+             "<head><style>a {}</style><script>b</script></head>" + article,
+             "<body><svg><foreignObject><p>no</p></foreignObject></svg>" + article]
+    df = spark.createDataFrame([(i, None, p) for i, p in enumerate(pages)] * 2, "page_id long, url string, html string")
+    got = html.extract(df.selectExpr("*", "1 as text", "2 as n_chars"), model).collect()
+    assert sorted((r.page_id, r.text) for r in got) == sorted((i, want) for i in range(len(pages)) for _ in range(2))
+    assert html.extract(df.limit(0), model).count() == 0
+    long = spark.createDataFrame([(1, "u", "<body><nav>menu</nav>" + article * 400)], "page_id long, url string, html string")
+    assert html.extract(long, model).first().text == "\n\n".join([want] * 400)
+
+
+def test_html_equals_the_articles(spark):
+    """Pages of the table hold one article without boilerplate in it: its blocks, cut by pattern."""
+    sf = "/root/testdata/sf0.01"
+    want = {}
+    for page_id, page in rows(sf, "pages")[["page_id", "html"]].itertuples(index=False):
+        inner = re.search("<article>(.*)</article>", page, re.S).group(1)
+        inner = re.sub("<!--.*?-->", "", inner, flags=re.S)
+        blocks = re.split("</?(?:h1|p)>", re.sub("</?b>", "", inner).replace("<br>", " "))
+        blocks = [" ".join(references.unescape(b).split()) for b in blocks]
+        want[page_id] = "\n\n".join(b for b in blocks if b)
+    assert {r.page_id: r.text for r in html.op2_html(spark, sf).collect()} == want
+
+
 def brute_leaks(docs, items):
     def sh(t):
         x = words_of(lower(t or ""))
@@ -239,6 +269,33 @@ def test_chat_windows(spark):
     assert sum(len(r.losses) for r in read) == 4
 
 
+@pytest.mark.parametrize("budget, history", [(25, 1), (25, 0), (40, 3)])
+def test_chat_windows_keep_their_budget(spark, budget, history):
+    rng = np.random.default_rng(budget + history)
+    turns = [(c, i, "system" if i == 0 and c % 2 else ["user", "assistant"][i % 2],
+              " ".join(["w"] * int(rng.choice([0, 1, 3, 9, 20, 60])))) for c in range(40) for i in range(int(rng.integers(1, 14)))]
+    turns += turns[:3] + [(50, i, ["user", "assistant"][i % 2], "a b") for i in range(3000)]
+    df = spark.createDataFrame(turns, "conv_id long, turn long, role string, text string")
+    df = df.selectExpr("*", "1 as window", "2 as items")
+    made = chat.windows(df, budget, history)
+    read = {(r.conv_id, r.window): r.turns for r in chat.read_turns(made).collect()}
+    got, longest = {}, 0
+    for r in sorted(made.collect(), key=lambda r: (r.conv_id, r.window)):
+        own = read[r.conv_id, r.window]
+        got.setdefault(r.conv_id, []).extend((t.role, t.text) for t in own)
+        n = sum(len(words_of(p.split(": ", 1)[1].replace("</turn>", ""))) for p in r.text.split("### ")[1:])
+        assert n == r.n_words and r.n_repeated - r.n_system <= history
+        longest = max(longest, r.n_repeated - r.n_system)
+        if n > budget:
+            assert len(own) - (own[0].role == "system") <= 1 and r.n_repeated == r.n_system
+    assert longest == history
+    want = {}
+    for c, _, role, text in sorted(turns):
+        want.setdefault(c, []).append((role, text))
+    assert got == want
+    assert chat.windows(df.limit(0)).count() == 0 == chat.read_turns(chat.windows(df.limit(0))).count()
+
+
 def test_tokens(spark, sf_dir):
     from tokenizers import Tokenizer
     tokenizer = Tokenizer.from_file(tokens.public_vocabulary())
@@ -280,6 +337,21 @@ def test_topk_edges(spark):
     assert sorted(r.vec_id for r in few) == [1, 2]
 
 
+def test_topk_large_values_lengths_and_clashes(spark):
+    rows_ = [(0, [3.0e6, -1.0]), (1, [2.0e6, 5.0]), (2, [-4.0e6, 0.25]), (2, [1.0, 1.0]), (3, [1.0]), (4, [2.0])]
+    df = spark.createDataFrame(rows_, "vec_id long, embedding array<double>").selectExpr("*", "1 as q", "2 as low", "3 as v")
+    v = topk.clean_vectors(df, "vec_id", "embedding")
+    got = sorted((r.query_id, r.rank, r.vec_id, r.score) for r in topk.top_k(v, v.where("vec_id in (0, 3)")).collect())
+    n = {i: [int(256 * x) for x in x] for i, x in enumerate(x for _, x in rows_)}
+    dot = lambda a, b: sum(x * y for x, y in zip(n[a], n[b]))
+    assert got == [(0, 1, 1, dot(0, 1)), (0, 2, 2, dot(0, 3)), (0, 3, 2, dot(0, 2)), (3, 1, 4, dot(4, 5))]
+    for large in (1e30, 1e16):
+        bad = spark.createDataFrame([(0, [large, 1.0]), (1, [large, 1.0])], "vec_id long, embedding array<double>")
+        with pytest.raises(Exception, match="too large|64 bits"):
+            b = topk.clean_vectors(bad, "vec_id", "embedding")
+            topk.top_k(b, b).collect()
+
+
 def test_pipeline(spark, sf_dir):
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     start = docs
