@@ -31,33 +31,62 @@ class _Uneven(Exception):
     """A space beside other white space, where a text may not be cut."""
 
 
+#: Pieces that are encoded as one text.
+TOGETHER = 1024
+#: Marks that are a word of their own after a letter at the end of a piece.
+MARKS = ".,;:!?"
+
+
 class _Pieces(dict):
     """Token ids of texts, each piece between two spaces encoded once while it is held.
 
-    Keys are pieces without the space before them, values their places in `ids`, cut by
-    `ends`. Place 0 is the end of a document.
+    Keys are pieces without the space before them, values eight times their place in
+    `starts` and `sizes`, which cut `ids`, plus the number of a mark that follows. Place 0
+    is the end of a document; texts that are not held have places below 0.
     """
 
-    def __init__(self, encode, end: int):
-        self.encode, self.end = encode, end
+    def __init__(self, tokenizer, end: int):
+        import numpy as np
+        self.tokenizer, self.end = tokenizer, end
+        vocabulary = tokenizer.get_vocab(with_added_tokens=True)
+        added = json.loads(tokenizer.to_str())["added_tokens"]
+        # A byte-level token has one character for each of its bytes.
+        self.bytes = np.zeros(max(vocabulary.values()) + 1, np.int64)
+        for token, i in vocabulary.items():
+            self.bytes[i] = len(token)
+        for token in added:
+            self.bytes[token["id"]] = len(token["content"].encode())
+        marks = [m for m in MARKS if m in vocabulary and not any(m in t["content"] for t in added)]
+        self.marks = {m: i for i, m in enumerate(marks, 1)}
+        self.mark_ids = np.array([end] + [vocabulary[m] for m in marks], np.int32)
         self.forget()
 
     def forget(self) -> None:
         import numpy as np
         self.clear()
-        self.new, self.characters = [], 0
-        self.ids, self.ends = np.array([self.end], np.int32), np.array([0, 1])
+        self.new, self.alone, self.characters = [], [], 0
+        self.ids, self.starts, self.sizes = np.array([self.end], np.int32), np.array([0]), np.array([1])
 
-    def add(self, text: str) -> int:
-        self.new.append(text)
-        self.characters += len(text)
-        return len(self.ends) - 2 + len(self.new)
+    def encode(self, texts: list[str]):
+        import numpy as np
+        return [np.array(e.ids, np.int32) for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
     def __missing__(self, piece: str) -> int:
         if not piece or piece[0].isspace() or piece[-1].isspace():
             raise _Uneven
-        place = self[piece] = self.add(" " + piece)
-        return place
+        self.characters += len(piece)
+        mark = self.marks.get(piece[-1])
+        if mark and piece[-2:-1].isascii() and piece[-2:-1].isalpha():
+            value = self[piece[:-1]] + mark
+        else:
+            self.new.append(" " + piece)
+            value = 8 * (len(self.sizes) - 1 + len(self.new))
+        self[piece] = value
+        return value
+
+    def not_held(self, text: str) -> int:
+        self.alone.append(text)
+        return -8 * len(self.alone)
 
     def places(self, text: str) -> list[int]:
         """A text as places: its first piece has no space before it. An uneven text stays whole."""
@@ -67,10 +96,31 @@ class _Pieces(dict):
         if rest and head and not head[-1].isspace():
             try:
                 rest = list(map(self.__getitem__, rest))
-                return [self.add(head), *rest, 0]
+                return [self.not_held(head), *rest, 0]
             except _Uneven:
                 pass
-        return [self.add(text), 0]
+        return [self.not_held(text), 0]
+
+    def learn(self) -> None:
+        """Encode the new pieces, many as one text; bytes of the ids tell where each ends."""
+        import numpy as np
+        ids, sizes = [self.ids], [self.sizes]
+        for at in range(0, len(self.new), TOGETHER):
+            some = self.new[at:at + TOGETHER]
+            got, = self.encode(["".join(some)])
+            ends = np.cumsum([len(p.encode()) for p in some])
+            reached = np.cumsum(self.bytes[got])
+            last = np.searchsorted(reached, ends)
+            if len(got) and reached[-1] == ends[-1] and (reached[last] == ends).all():
+                ids.append(got)
+                sizes.append(np.diff(last, prepend=-1))
+            else:
+                each = self.encode(some)
+                ids += each
+                sizes.append(np.array([len(x) for x in each]))
+        self.new = []
+        self.ids, self.sizes = np.concatenate(ids), np.concatenate(sizes)
+        self.starts = np.cumsum(self.sizes) - self.sizes
 
     def tokens(self, texts: list[str]):
         """(offsets, ids) of the texts one after the other, the end id after each."""
@@ -78,17 +128,24 @@ class _Pieces(dict):
         if len(self) > PIECES or self.characters > PIECE_CHARACTERS:
             self.forget()
         found = [np.array(self.places(text)) for text in texts]
-        # An encoding takes far more memory than its ids: some pieces at a time.
+        if self.new:
+            self.learn()
+        # An encoding takes far more memory than its ids: some texts at a time.
         lists = []
-        for at in range(0, len(self.new), 1024):
-            lists += self.encode(self.new[at:at + 1024])
-        self.new = []
-        self.ids = np.concatenate([self.ids, *lists])
-        self.ends = np.concatenate([self.ends, self.ends[-1] + np.cumsum([len(x) for x in lists], dtype=np.int64)])
+        for at in range(0, len(self.alone), TOGETHER):
+            lists += self.encode(self.alone[at:at + TOGETHER])
+        self.alone = []
+        sizes = np.concatenate([self.sizes, np.array([len(x) for x in lists], np.int64)])
+        starts = np.concatenate([self.starts, np.cumsum(sizes)[len(self.sizes):] - sizes[len(self.sizes):]])
+        pool = np.concatenate([self.ids, *lists])
         at = np.concatenate(found)
-        start, size = self.ends[at], self.ends[at + 1] - self.ends[at]
+        mark, at = at & 7, at >> 3
+        at = np.where(at < 0, len(self.sizes) - 1 - at, at)
+        size = sizes[at] + (mark > 0)
         after = np.cumsum(size)
-        ids = self.ids[np.arange(after[-1]) + np.repeat(start - after + size, size)]
+        # The place of a mark reads one id too far; it is set next.
+        ids = pool.take(np.arange(after[-1]) + np.repeat(starts[at] - after + size, size), mode="clip")
+        ids[after[mark > 0] - 1] = self.mark_ids[mark[mark > 0]]
         return np.concatenate([[0], after[np.cumsum([len(f) for f in found]) - 1]]), ids
 
 
@@ -123,10 +180,9 @@ def write_tokens(docs: DataFrame, path: str, vocabulary: str, encoding: str = "d
         # Spark's tasks are the threads; more would only hold more memory.
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         tokenizer = Tokenizer.from_file(vocabulary)
-        pieces = _Pieces(lambda texts: [np.array(e.ids, np.int32) for e in tokenizer.encode_batch_fast(
-            texts, add_special_tokens=False)], end)
+        pieces = _Pieces(tokenizer, end)
         if not _cuts_at_spaces(tokenizer):
-            pieces.places = lambda text: [pieces.add(text), 0] if text else [0]
+            pieces.places = lambda text: [pieces.not_held(text), 0] if text else [0]
         for batch in batches:
             texts = [t or "" for t in batch["text"].to_pylist()]
             at = 0

@@ -18,15 +18,14 @@ def tokenizer():
 
 
 def pieces_of(tokenizer):
-    return tokens._Pieces(lambda texts: [np.array(e.ids, np.int32) for e in tokenizer.encode_batch_fast(
-        texts, add_special_tokens=False)], 0)
+    return tokens._Pieces(tokenizer, 0)
 
 
 def test_pieces_give_the_ids_of_the_whole_text(tokenizer, monkeypatch):
     monkeypatch.setattr(tokens, "PIECES", 300)  # forgets often
     rnd = random.Random(5)
     parts = [" ", " ", " ", "  ", "\n", "\t", "\r\n", " ", " ", "\u0085", "\x1c", "a", "B7", "it's", "'ll", " 's",
-             "12", "...", "é", "ß", "中文", "🙂", "<|endoftext|>", "<|endof", "́", "​", "Q" * 90]
+             "12", "...", "a,", "word.", "Why?!", "é.", "x;y:", ",", "é", "ß", "中文", "🙂", "<|endoftext|>", "<|endof", "́", "​", "Q" * 90]
     texts = ["".join(rnd.choice(parts) for _ in range(rnd.randint(0, 40))) for _ in range(2000)]
     pieces = pieces_of(tokenizer)
     for at in range(0, len(texts), 50):
@@ -35,6 +34,14 @@ def test_pieces_give_the_ids_of_the_whole_text(tokenizer, monkeypatch):
             assert ids[offsets[i]:offsets[i + 1]].tolist() == tokenizer.encode(text, add_special_tokens=False).ids + [0]
 
 
+def test_pieces_whose_bytes_do_not_add_up_are_encoded_one_by_one(tokenizer):
+    pieces = pieces_of(tokenizer)
+    pieces.bytes[tokenizer.token_to_id("e")] = 2
+    text = "one two, three greener é. <|endoftext|> " + " ".join(f"w{i}e" for i in range(3000))
+    want = tokenizer.encode(text, add_special_tokens=False).ids + [0]
+    assert pieces.tokens([text, "", text])[1].tolist() == want + [0] + want
+
+
 def test_only_tokenizers_that_cut_at_spaces_are_cut(tokenizer):
     assert tokens._cuts_at_spaces(tokenizer)
     other = Tokenizer.from_file(tokens.public_vocabulary())
