@@ -241,6 +241,63 @@ def test_license(spark):
     assert license.inherit(license.scan(files.limit(0))).count() == 0
 
 
+def brute_license(text, is_license):
+    """Best (similarity, name) of a text by cosine over all its passages."""
+    def vector(t):
+        return Counter(re.findall(license.TERM, t.lower()))
+    names, texts = zip(*license.TEMPLATES)
+    held = [vector(t) for t in texts]
+    idf = lambda w: 1 + np.log((len(held) + 1) / (1 + sum(w in h for h in held)))
+    length = lambda v: np.sqrt(sum((n * idf(w)) ** 2 for w, n in v.items()))
+    plain = re.sub(license.COMMENT, "", (text or "").replace("\r\n", "\n"))
+    units = plain.split("\n") + ([" ".join(plain.split())] if is_license else [])
+    for paragraph in re.split(r"\n\s*\n", plain):
+        paragraph = " ".join(paragraph.split())
+        units += [paragraph] + re.split(r"(?<=[.!?;])\s+(?=[A-Z\"(])", paragraph)
+    found = [(0.0, "")]
+    for unit in set(units):
+        if re.search(license.NOTICE, unit) and not re.search(license.DENIAL, unit):
+            v = vector(unit)
+            for name, h in zip(names, held):
+                dot = sum(n * h[w] * idf(w) ** 2 for w, n in v.items())
+                found.append((min(1.0, round(float(dot / (length(v) * length(h))), 9)) if v else 0.0, name))
+    top = max(f[0] for f in found)
+    return (top, min(n for s, n in found if s == top)) if top >= license.THRESHOLD else (0.0, "")
+
+
+def test_license_equals_brute_force(spark):
+    sf = "/root/testdata/sf0.01"
+    docs = rows(sf, "documents")
+    docs = docs[docs.text.fillna("").str.contains(license.NOTICE) | (docs.doc_id % 20 == 0)]
+    got = {r.doc_id: (r.license or "", r.similarity) for r in license.op7_license(spark, sf).collect()}
+    assert len(got) == len(rows(sf, "documents"))
+    for doc_id, text in docs[["doc_id", "text"]].itertuples(index=False):
+        top, name = brute_license(text, doc_id % 50 < 5)
+        assert got[doc_id][0] == name and abs(got[doc_id][1] - top) < 1e-8, doc_id
+    assert sum(bool(name) for name, _ in got.values()) >= 30
+
+
+def test_license_notices(spark):
+    long = {name: text for name, text in license.TEMPLATES if len(text) > 200}
+    wrap = lambda text, mark: "\n".join(mark + text[i:i + 60] for i in range(0, len(text), 60))
+    words = re.split(r"(?<= )", long["GPL-3.0"])
+    cases = [
+        ("MIT", "MIT License\n\nCopyright (c) 2020 Some One\n\n" + long["MIT"] + "\n\nNo more."),
+        ("GPL-3.0", "# " + "".join(words[:12]) + "\n# " + "".join(words[12:30]) + "\n# " + "".join(words[30:]) + "\nx = 1"),
+        ("MIT", "// SPDX-License-Identifier: mit\nint x;"), ("GPL-3.0", "# SPDX-License-Identifier: GPL-3.0-or-later"),
+        ("Zlib", "# SPDX-License-Identifier: Zlib"), ("Apache-2.0", "code\r\n\r\n# Licensed under the Apache\r\n# License, Version 2.0.\r\n"),
+        ("MIT", "Prose stands here. Released under the MIT License. And goes on."), ("", "This is not released under the MIT License."),
+        ("", "A licence to fish is needed at the lake."), ("", wrap("x" * 300, "# ")), ("", None), ("", " \n"),
+        ("Apache-2.0", "word " * 200_000 + "\n\n" + long["Apache-2.0"] + "\n\n" + "word\n" * 1000),
+        # Both tags count 1: the first name.
+        ("Apache-2.0", "SPDX-License-Identifier: MIT\nSPDX-License-Identifier: Apache-2.0")]
+    df = spark.createDataFrame([(i, f"d/{i}", False, text) for i, (_, text) in enumerate(cases)] * 2,
+                               "row long, path string, is_license boolean, text string")
+    df = df.selectExpr("*", "1 as term", "2 as unit", "3 as name", "4 as dir", "5 as given")
+    got = license.inherit(license.scan(df)).collect()
+    assert sorted((r.row, r.license or "") for r in got) == sorted((i, name) for i, (name, _) in enumerate(cases) for _ in range(2))
+
+
 def test_chat(spark, sf_dir):
     t = rows(sf_dir, "conversations")
     want = {}
