@@ -156,3 +156,12 @@ def test_daily_inputs_equal_the_long_way_round(weather_tables):
     assert wide.select(cols).exceptAll(short.select(cols)).count() == 0
     assert wide.count() == short.count() == 5
     assert wide.filter(F.col("crop").isNotNull()).count() == 2
+
+
+def test_pet_correction_keeps_the_days_off_the_driver(spark, stages):
+    """Ten stages look small, their days are not: the join may not broadcast them."""
+    daily = spark.createDataFrame([("S", day("2020-01-01"), "Potato", 4.0)],
+                                  "site_id string, date date, crop string, pet double")
+    joined = canopy.pet_correction(daily, canopy.crop_coefficient(stages))
+    assert len(joined.collect()) == 1
+    assert "Broadcast" not in joined._jdf.queryExecution().executedPlan().toString()
