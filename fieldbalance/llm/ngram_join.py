@@ -15,6 +15,8 @@ LONGEST = 4
 CHECK_COST = 50.0
 #: A class of equal sets above this share of all rows is searched by one of its rows.
 HEAVY = 10_000
+#: Sets compared side by side when links are counted: a task holds two such blocks.
+BLOCK = 256
 
 
 def shingle_set(text: str | None, n: int):
@@ -23,14 +25,15 @@ def shingle_set(text: str | None, n: int):
     return np.unique(shingle_hashes(word_hashes(byte_words(text, lower=True)), n))
 
 
-def components(nodes: DataFrame, links: DataFrame) -> DataFrame:
-    """(id, root): the smallest id reachable over links (a, b). Rounds end in stored tables.
+def components(links: DataFrame) -> DataFrame:
+    """(id, root) of every id that has a link: the smallest id reachable over links (a, b).
 
-    Every round hands the smallest known root to both ends of a link and then
-    follows roots to their own roots, so chains halve.
+    Ids without a link are their own root and take no part in the rounds, which end in
+    stored tables. Every round hands the smallest known root to both ends of a link and
+    then follows roots to their own roots, so chains halve.
     """
-    root = stored(nodes.select(F.col("id"), F.col("id").alias("root")), "roots")
     links = stored(links.select("a", "b").union(links.select(F.col("b").alias("a"), F.col("a").alias("b"))), "links")
+    root = stored(links.groupBy(F.col("a").alias("id")).agg(F.first("a").alias("root")), "roots")
     while True:
         near = (links.join(root.withColumnRenamed("id", "b"), "b").groupBy("a").agg(F.min("root").alias("near")))
         step = stored(root.join(near, root["id"] == near["a"], "left")
@@ -43,14 +46,66 @@ def components(nodes: DataFrame, links: DataFrame) -> DataFrame:
         now = stored(step.join(jump, "root", "left")
                      .select("id", F.least("root", F.coalesce("next", "root")).alias("root"), "old"), "roots")
         changed = now.where("root <> old").limit(1).count()
+        dropped(root, step)
         root = now.select("id", "root")
         if not changed:
+            dropped(links)
             return root
 
 
-def _search(numbered: DataFrame, n: int, percent: int, longest: int) -> DataFrame:
+def _links_of(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """(id, links): to how many rows each of members (id, root, copies) links, sets as (id, set).
+
+    Links never leave a component, so its members are compared with each other: blocks of
+    BLOCK sets, two of them in a task, however large the component is. Small components
+    share a task. Only counts leave it, no pairs. The work is the square of a component.
+    """
+    sizes = members.groupBy("root").agg(F.count("*").alias("size")).where("size > 1")
+    total = members.count()
+    bins = max(1, total // BLOCK)
+    blocks = F.ceil(F.col("size") / BLOCK).cast("int")
+    placed = (members.join(sizes, "root").withColumn("blocks", blocks)
+              .withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
+              .withColumn("bin", F.when(F.col("blocks") > 1, F.col("root"))
+                          .otherwise(-1 - F.pmod(F.xxhash64("root"), F.lit(bins))))
+              .select("id", "root", "copies", "block", "bin", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")))
+    placed = placed.select("id", "root", "copies", "block", "bin", F.least("block", "other").alias("low"),
+                           F.greatest("block", "other").alias("high"))
+
+    def counted(group):
+        import numpy as np
+        import pandas as pd
+        low, high = int(group["low"].iloc[0]), int(group["high"].iloc[0])
+        found = []
+        for _, part in group.groupby("root", sort=False):
+            held = [np.asarray(s) for s in part["set"]]
+            length = np.array([len(s) for s in held])
+            ends = np.concatenate([[0], np.cumsum(length)[:-1]])
+            tokens, place = np.unique(np.concatenate(held), return_inverse=True)
+            copies, block = part["copies"].to_numpy(), part["block"].to_numpy()
+            marked = np.zeros(len(tokens), bool)
+            for i in range(len(held)):
+                mine = place[ends[i]:ends[i] + length[i]]
+                marked[mine] = True
+                both = np.add.reduceat(marked[place], ends, dtype=np.int64)
+                marked[mine] = False
+                near = 100 * both >= percent * (length + length[i] - both)
+                near[i] = False
+                # A pair of one block is counted where its block stands alone.
+                near &= block != block[i] if low < high else True
+                found.append((part["id"].iloc[i], int(copies[near].sum())))
+        return pd.DataFrame(found, columns=["id", "links"])
+
+    met = placed.join(sets, "id")
+    return (met.groupBy("bin", "low", "high").applyInPandas(counted, "id long, links long")
+            .groupBy("id").agg(F.sum("links").alias("links")))
+
+
+def _search(numbered: DataFrame, n: int, percent: int, longest: int, count_links: bool = True) -> DataFrame:
     """row, doc_id, n_shingles, root, n_links of (row, doc_id, text); root is null without words.
 
+    ``n_links`` is how many other rows a row links to, all of them; null unless asked for.
+
     Rows are the nodes, so ids may repeat or be missing. Of a class of equal sets that
     holds more than one in HEAVY of all rows, one row takes part in the search and the
     others follow it: at most HEAVY classes, which is what is broadcast.
@@ -127,7 +182,7 @@ def _search(numbered: DataFrame, n: int, percent: int, longest: int) -> DataFram
                                     "n_shingles": np.repeat(batch["n_shingles"].to_numpy(), each),
                                     "matches": np.repeat(matches, each)})
 
-    postings = stored(one.mapInPandas(prefixes, "id long, token int, n_shingles int, matches int"), "postings")
+    postings = stored(one.mapInPandas(prefixes, "id long, token int, n_shingles long, matches int"), "postings")
     held = postings.groupBy("token").agg(F.min("id").alias("hub"), F.max("id").alias("last")).where("hub < last")
     held = stored(held.select("token", "hub"), "hubs")
     # Most tokens of a prefix are its own: their postings meet nobody and travel no further.
@@ -171,9 +226,9 @@ def _search(numbered: DataFrame, n: int, percent: int, longest: int) -> DataFram
              .agg(F.count("*").alias("shared"), F.first(F.least("x.matches", "y.hub_matches")).alias("least"))
              .where("shared >= least").select("a", "b"))
     first = checked(stars, "first-links")
-    root = components(nodes, first)
+    root = components(first)
     # Then all pairs of rows that are still apart.
-    apart = postings.join(root, "id")
+    apart = postings.join(root, "id", "left").withColumn("root", F.coalesce("root", "id"))
     mixed = (apart.groupBy("token").agg(F.min("root").alias("low"), F.max("root").alias("high"))
              .where("low < high").select("token"))
     apart = stored(apart.join(stored(mixed, "mixed"), "token"), "apart")
@@ -184,17 +239,27 @@ def _search(numbered: DataFrame, n: int, percent: int, longest: int) -> DataFram
             .agg(F.count("*").alias("shared"), F.first(F.least("x.matches", "y.matches")).alias("least"))
             .where("shared >= least").select("a", "b"))
     second = checked(rest, "second-links")
-    dropped(whole, postings, held, apart)
-    links = first.unionByName(second)
-    final = components(nodes, links)
-    ends = links.select(F.col("a").alias("id")).union(links.select(F.col("b").alias("id")))
-    degree = ends.groupBy("id").agg(F.count("*").alias("links"))
+    dropped(postings, held, apart, root)
+    final = components(first.unionByName(second))
     # A row finds its component by itself, or by the first of its heavy class.
     found = rows.join(F.broadcast(heavy), "key", "left").select(
         "row", "doc_id", "n_shingles", F.coalesce("first", "row").alias("id"),
         (F.coalesce("copies", F.lit(1)) - 1).alias("equal"))
-    answer = stored(found.join(final, "id", "left").join(degree, "id", "left").select(
-        "row", "doc_id", "n_shingles", "root", (F.coalesce("links", F.lit(0)) + F.col("equal")).alias("n_links")), "answer")
+    found = found.join(final, "id", "left").withColumn(
+        "root", F.when(F.col("n_shingles") > 0, F.coalesce("root", "id")))
+    if count_links:
+        weight = heavy.select(F.col("first").alias("id"), "copies")
+        members = stored(final.join(F.broadcast(weight), "id", "left")
+                         .select("id", "root", F.coalesce("copies", F.lit(1)).alias("copies")), "members")
+        # Few sets are in any component: nearly all others stay where they are.
+        sets = maybe_among(one.select("id", "set"), "id", members.select("id"))
+        degree = stored(_links_of(members, sets, percent), "degrees")
+        found = found.join(degree, "id", "left").withColumn(
+            "n_links", F.when(F.col("n_shingles") > 0, F.coalesce("links", F.lit(0)) + F.col("equal")).otherwise(0))
+    else:
+        found = found.withColumn("n_links", F.lit(None).cast("long"))
+    answer = stored(found.select("row", "doc_id", "n_shingles", "root", "n_links"), "answer")
+    dropped(whole)
     dropped(rows, heavy, first, second)
     return answer
 
@@ -216,9 +281,7 @@ def similar(docs: DataFrame, n: int = 4, percent: int = 85, longest: int = LONGE
     Null and empty texts have no shingles and link with nothing: their component is
     their own id. Rows that share a doc_id, or have none, are rows of their own; a
     component's id is the smallest of its ids that is not null, null if all are. Links
-    counts the links that were checked, and the equal rows of a large class; a pair
-    inside one component that was joined through others before is not checked again.
-    A text of any length is one set. An empty table gives no rows; other columns are
+    counts every other row that the row links with, copies too. A text of any length is one set. An empty table gives no rows; other columns are
     not read.
     """
     answer = _search(_numbered(docs, "doc_id", "text"), n, percent, longest)
@@ -239,7 +302,7 @@ def first_of_each(docs: DataFrame, n: int = 4, percent: int = 85, longest: int =
     Rows whose text has no words link with nothing and stay, repeated ones too.
     """
     whole = stored(_numbered(docs, F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc")), "whole")
-    answer = _search(whole.select("row", "doc.doc_id", "doc.text"), n, percent, longest)
+    answer = _search(whole.select("row", "doc.doc_id", "doc.text"), n, percent, longest, count_links=False)
     stay = _smallest(answer).select(F.col("first.row").alias("row")).unionByName(
         answer.where("root IS NULL").select("row"))
     return whole.join(stay, "row", "left_semi").select("doc.*")

@@ -202,6 +202,32 @@ def test_ngram_join_chains(spark):
     assert got == brute_groups([(d[0], d[1]) for d in docs])
 
 
+def brute_links(docs, n=4, percent=85):
+    sets = []
+    for _, text in docs:
+        w = lower(text or "").split()
+        sets.append({tuple(w[i:i + n]) for i in range(max(1, len(w) - n + 1))} if w else set())
+    return sorted((d, sum(bool(s) and i != j and 100 * len(s & t) >= percent * len(s | t) for j, t in enumerate(sets)))
+                  for i, ((d, _), s) in enumerate(zip(docs, sets)))
+
+
+@pytest.mark.parametrize("block", [256, 7])
+def test_ngram_join_counts_every_link(spark, monkeypatch, block):
+    """Links inside a component too, which other links had joined before."""
+    monkeypatch.setattr(ngram_join, "BLOCK", block)
+    rng = np.random.default_rng(2)
+    docs = []
+    for i in range(40):
+        x = [f"w{k}" for k in range(120)]
+        for at in rng.integers(0, 120, rng.integers(0, 6)):
+            x[at] = f"n{rng.integers(0, 40)}"
+        docs.append((i, " ".join(x), "en", "a", 1))
+    docs += [(50 + i, docs[3][1], "en", "a", 1) for i in range(6)]
+    docs += [(70, None, "en", "a", 0), (71, "", "en", "a", 0), (72, "alone", "en", "a", 0)]
+    got = sorted((r.doc_id, r.n_links) for r in ngram_join.similar(spark.createDataFrame(docs, DOCS)).collect())
+    assert got == brute_links([(d[0], d[1]) for d in docs])
+
+
 def test_ngram_join_edges(spark, odd_docs):
     assert ngram_join.similar(odd_docs).count() == 11
     assert ngram_join.similar(odd_docs.limit(0)).count() == 0
