@@ -19,6 +19,11 @@ from fieldbalance.operators.soil import PROFILE_KEYS, TREATMENT
 MM_PER_PERCENT_CM = 0.1
 
 
+def _text(name: str) -> str:
+    """A name as a text in SQL."""
+    return "'" + name.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
 def layer_intervals(names: Sequence[str]) -> dict[str, tuple[int, int]]:
     """Top and bottom of every layer by the two numbers in its name; they may not overlap."""
     found = {}
@@ -41,17 +46,26 @@ def interval_layers(readings: DataFrame, names: Sequence[str]) -> DataFrame:
     day is absent; one with only missing values counts as dry, like the profile sums.
     """
     intervals = layer_intervals(names)
-    ends = F.create_map(*[x for n, (top, bottom) in intervals.items()
-                          for x in (F.lit(n), F.struct(F.lit(top).alias("top"),
-                                                       F.lit(bottom).alias("bottom")))])
-    layers = (readings.groupBy(*PROFILE_KEYS, "variable").agg(F.avg("value").alias("percent"))
-              .withColumn("_end", ends[F.col("variable")]))
-    named = layers.filter(F.assert_true(F.col("_end").isNotNull(), F.concat(
-        F.lit("reading of an unlisted layer "), "variable")).isNull())
-    return named.select(
-        *PROFILE_KEYS, F.col("_end.top").alias("top"), F.col("_end.bottom").alias("bottom"),
-        (F.col("percent") * (F.col("_end.bottom") - F.col("_end.top"))
-         * F.lit(MM_PER_PERCENT_CM)).alias("sw"))
+    if len(intervals) > 62:
+        raise ValueError("at most 62 layers fit the mask")
+    bit = {name: 1 << k for k, name in enumerate(intervals)}
+    cases = " ".join(f"WHEN {_text(name)} THEN {b}L" for name, b in bit.items())
+    # Layers are averaged side by side, one row per treatment and day in the shuffle.
+    # Bit 62 tells of a reading that is in no listed layer.
+    marked = readings.withColumn("_bit", F.expr(f"CASE variable {cases} ELSE {1 << 62}L END"))
+    unlisted = F.max(F.when(F.col("_bit") == 1 << 62, F.col("variable")))
+    wide = marked.groupBy(*PROFILE_KEYS).agg(
+        F.bit_or("_bit").alias("_seen"), unlisted.alias("_unlisted"),
+        *[F.expr(f"avg(if(_bit = {b}L, value, NULL))").alias(f"_percent_{k}")
+          for k, b in enumerate(bit.values())])
+    named = wide.filter(F.assert_true(F.expr(f"_seen & {1 << 62}L = 0"), F.concat(
+        F.lit("reading of an unlisted layer "), "_unlisted")).isNull())
+    rows = F.inline(F.array(*[
+        F.struct(F.lit(top).alias("top"), F.lit(bottom).alias("bottom"),
+                 (F.col(f"_percent_{k}") * F.lit(bottom - top) * F.lit(MM_PER_PERCENT_CM)).alias("sw"),
+                 F.expr(f"_seen & {bit[name]}L <> 0").alias("_there"))
+        for k, (name, (top, bottom)) in enumerate(intervals.items())]))
+    return named.select(*PROFILE_KEYS, rows).filter("_there").drop("_there")
 
 
 def _reached(layers: DataFrame, depths: DataFrame | Mapping[str, int]) -> DataFrame:

@@ -126,3 +126,16 @@ def test_results_do_not_depend_on_the_session_zone(spark, sf_dir, zone):
         assert dates.with_local_date(instants, "wall").collect()[0].wall == dt.date(2024, 1, 2)
     finally:
         spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
+def test_layers_are_averaged_side_by_side(spark):
+    """One row per treatment and day goes into the shuffle, not one per layer."""
+    readings = spark.createDataFrame(
+        [("S", "Wheat", dt.date(2020, 1, 1), 1, 1, name, value)
+         for name, value in (("VWC_0_10", 10.0), ("VWC_0_10", 20.0), ("VWC_10_30", None))],
+        "site_id string, crop string, date date, irrigation int, n_rate int, variable string, value double")
+    layers = intervals.interval_layers(readings, ["VWC_0_10", "VWC_10_30", "VWC_30_40"])
+    assert sorted((r.top, r.bottom, r.sw) for r in layers.collect()) == [(0, 10, 15.0), (10, 30, None)]
+    plan = layers._jdf.queryExecution().sparkPlan().toString()
+    assert "keys=[" in plan and not any(
+        "variable" in line.split("keys=[")[1].split("]")[0] for line in plan.split("\n") if "keys=[" in line)
