@@ -35,19 +35,21 @@ class Sheet(NamedTuple):
 
 def _stored(df: DataFrame, name: str, observed: dict[str, Column],
             max_rejected: float) -> tuple[DataFrame, dict[str, int]]:
-    """The rows by kind, written once; raises if too many of them are rejects."""
+    """The rows, written once as they come; raises if too many of them are rejects.
+
+    A folder per kind would have every task sort its rows, with their files' names, in memory.
+    """
     spark = df.sparkSession
     counter = Observation()
     path = new_shared_path(spark, name)
     none = F.lit(0).cast("long")
     df.observe(counter, *[F.coalesce(F.count_if(c), none).alias(k) for k, c in observed.items()]) \
-        .write.partitionBy("kind").parquet(path)
+        .write.parquet(path)
     counts = dict(counter.get)
     seen = sum(counts.values())
     if counts["rejects"] > max_rejected * seen:
         raise ValueError(f"{counts['rejects']} of {seen} lines cannot be used, "
                          f"more than a share of {max_rejected}")
-    # ``kind`` is text in the folder names; its type is declared, not guessed.
     return spark.read.schema(df.schema).parquet(path), counts
 
 

@@ -80,3 +80,11 @@ def test_stored_weather_is_pruned_by_the_start_table(spark, tmp_path):
     plan = got._jdf.queryExecution().executedPlan().toString()
     assert "dynamicpruning" in plan.lower()
     assert {r.site_id for r in got.collect()} == {"S3"} and got.count() == 19
+
+
+def test_lines_are_stored_as_they_come(spark, tmp_path):
+    """No folder per kind: a task would sort all its lines in memory for it."""
+    (tmp_path / "station.txt").write_text("123\t2020,07,07,09\t4.6\t24\tP\n123\tx\t4.6\t24\tP\n")
+    found = rejects.read_station_text_checked(spark, str(tmp_path), max_rejected=0.5)
+    assert (found.pet.count(), found.rain.count(), found.rejects.count()) == (1, 0, 1)
+    assert not any("kind=" in f for f in found.rejects.inputFiles())
