@@ -175,3 +175,25 @@ def test_nested_chunks_come_back_whole(large):
     swd = soil.swd_profile(layers_of(large))
     nested = reshape.nest(swd, soil.TREATMENT, ["date", "crop", "swd"], F.month("date"))
     same(reshape.unnest(nested, soil.TREATMENT), swd.select(*soil.TREATMENT, "date", "crop", "swd"))
+
+
+def test_only_readings_that_may_be_flagged_are_joined(spark):
+    """The others go past the join; missing plots still match missing plots."""
+    day = dt.date(2020, 1, 1)
+    readings = spark.createDataFrame(
+        [("S", day, p, f"VWC_{k}_{k + 20}", float(k)) for p in ("1", "2", None) for k in range(0, 160, 20)],
+        "site_id string, date date, plot string, variable string, value double")
+    flags = spark.createDataFrame([("S", day, "1", "VWC_0_20", 1), ("S", day, None, "VWC_20_40", 1),
+                                   ("S", day, "9", "VWC_0_20", 1), ("S", None, "2", "VWC_0_20", 1)],
+                                  "site_id string, date date, plot string, variable string, value int")
+    joined = soil.join_flags(readings, flags)
+    assert joined.columns == [*readings.columns, "flag"]
+    rows = joined.collect()
+    assert len(rows) == 24
+    hit = [(None, "VWC_20_40"), ("1", "VWC_0_20")]
+    assert sorted([(r.plot, r.variable) for r in rows if r.flag == 1], key=str) == sorted(hit, key=str)
+    kept = soil.drop_flagged(readings, flags)
+    assert sorted(kept.collect(), key=str) == sorted(
+        [r for r in readings.collect() if (r.plot, r.variable) not in hit], key=str)
+    for df in (joined, kept):
+        assert "Union" in df._jdf.queryExecution().executedPlan().toString()
