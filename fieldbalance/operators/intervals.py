@@ -51,15 +51,13 @@ def interval_layers(readings: DataFrame, names: Sequence[str]) -> DataFrame:
     bit = {name: 1 << k for k, name in enumerate(intervals)}
     cases = " ".join(f"WHEN {_text(name)} THEN {b}L" for name, b in bit.items())
     # Layers are averaged side by side, one row per treatment and day in the shuffle.
-    # Bit 62 tells of a reading that is in no listed layer.
-    marked = readings.withColumn("_bit", F.expr(f"CASE variable {cases} ELSE {1 << 62}L END"))
-    unlisted = F.max(F.when(F.col("_bit") == 1 << 62, F.col("variable")))
-    wide = marked.groupBy(*PROFILE_KEYS).agg(
-        F.bit_or("_bit").alias("_seen"), unlisted.alias("_unlisted"),
+    marked = readings.withColumn("_bit", F.expr(f"CASE variable {cases} END"))
+    listed = marked.filter(F.assert_true(F.col("_bit").isNotNull(), F.concat(
+        F.lit("reading of an unlisted layer "), "variable")).isNull())
+    named = listed.groupBy(*PROFILE_KEYS).agg(
+        F.bit_or("_bit").alias("_seen"),
         *[F.expr(f"avg(if(_bit = {b}L, value, NULL))").alias(f"_percent_{k}")
           for k, b in enumerate(bit.values())])
-    named = wide.filter(F.assert_true(F.expr(f"_seen & {1 << 62}L = 0"), F.concat(
-        F.lit("reading of an unlisted layer "), "_unlisted")).isNull())
     rows = F.inline(F.array(*[
         F.struct(F.lit(top).alias("top"), F.lit(bottom).alias("bottom"),
                  (F.col(f"_percent_{k}") * F.lit(bottom - top) * F.lit(MM_PER_PERCENT_CM)).alias("sw"),
