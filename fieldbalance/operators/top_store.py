@@ -11,8 +11,9 @@ row are one map of the same kind:
 
 So a block of days shrinks to three numbers, the blocks of a series combine in
 order, and every block is replayed from the deficit it starts with. Days are only
-ever gathered by site and block, which many tasks share however long a series is,
-and all of it stays inside the JVM.
+ever gathered by site, level and block, which many tasks share however long a series
+is, and all of it stays inside the JVM. The array functions are interpreted, so they
+keep to the deficit; what follows from it is compiled.
 """
 
 from __future__ import annotations
@@ -25,74 +26,57 @@ from pyspark.sql import functions as F
 from fieldbalance.functions.nulls import strict_least
 
 _TREATMENT = ["site_id", "irrigation", "n_rate"]
+_SERIES = [*_TREATMENT, "ws0", "awhcs"]
 _DOUBLE_MAX = 1.7976931348623157e308
 
 
 def _day_blocks(daily: DataFrame, levels: dict[int, str], pet_col: str, block: Column) -> DataFrame:
-    """(site_id, block, days): the days of a block in order, each with its rain by level."""
-    day = F.struct("date", F.col(pet_col).cast("double").alias("pet"), F.struct(*[
-        F.col(c).cast("double").alias(f"_{k}") for k, c in levels.items()]).alias("rain"))
-    blocks = daily.groupBy("site_id", block.alias("block")).agg(
+    """(site_id, irrigation, block, days): the days of a block in order, with the rain of one level."""
+    pet = F.col(pet_col).cast("double")
+    rains = F.inline(F.array(*[F.struct(F.lit(k).alias("irrigation"), F.col(c).cast("double").alias("p"))
+                               for k, c in levels.items()]))
+    rows = daily.select("site_id", block.alias("block"), "date", pet.alias("pet"), rains)
+    day = F.struct("date", "pet", "p", (F.col("p") - F.col("pet")).alias("change"))
+    blocks = rows.groupBy("site_id", "irrigation", "block").agg(
         F.sort_array(F.collect_list(day)).alias("days"))
     twice = F.size(F.array_distinct(F.transform("days", lambda d: d["date"]))) < F.size("days")
     return blocks.filter(F.assert_true(~twice, F.concat(
         F.lit("two daily rows for one date at site "), "site_id")).isNull())
 
 
-def _of_level(levels: dict[int, str]) -> Column:
-    """The days of a block with the rain of the treatment's irrigation level."""
-    def rain(day: Column) -> Column:
-        value = F.lit(None).cast("double")
-        for k in levels:
-            value = F.when(F.col("irrigation") == k, day["rain"][f"_{k}"]).otherwise(value)
-        return value
-    return F.transform("days", lambda d: F.struct(d["date"].alias("date"), d["pet"].alias("pet"),
-                                                  rain(d).alias("p")))
+def _walked(first_date: Column) -> Column:
+    """The days of a block that change the deficit: the first day of a site holds the start."""
+    days = F.col("days")
+    return F.when(days[0]["date"] == first_date, F.slice(days, 2, F.size(days))).otherwise(days)
 
 
-def _map(shift: Column, low: Column, high: Column, known: Column) -> Column:
-    return F.struct(shift.alias("shift"), low.alias("low"), high.alias("high"),
-                    known.alias("known"))
+def _block_map(days: Column, awhcs: Column) -> Column:
+    """What the days of a block do together; its shift is missing if a day is not known."""
+    def then(done: Column, day: Column) -> Column:
+        low = day["p"] - awhcs
+        return F.struct((done["shift"] + day["change"]).alias("shift"),
+                        F.greatest(low, done["low"] + day["change"]).alias("low"),
+                        F.least(F.lit(0.0), F.greatest(low, done["high"] + day["change"])).alias("high"))
 
-
-def _then(first: Column, second: Column) -> Column:
-    """The map that does ``first``, then ``second``; unknown if either is."""
-    low = F.greatest(second["low"], first["low"] + second["shift"])
-    high = F.least(second["high"], F.greatest(second["low"], first["high"] + second["shift"]))
-    return _map(first["shift"] + second["shift"], low, high, first["known"] & second["known"])
-
-
-def _identity() -> Column:
-    return _map(F.lit(0.0), F.lit(-_DOUBLE_MAX), F.lit(_DOUBLE_MAX), F.lit(True))
-
-
-def _day_map(day: Column, first_date: Column, awhcs: Column) -> Column:
-    """What one day does; the first day holds the start and changes nothing."""
-    known = day["pet"].isNotNull() & day["p"].isNotNull() & awhcs.isNotNull()
-    change = _map(F.coalesce(day["p"] - day["pet"], F.lit(0.0)),
-                  F.coalesce(day["p"] - awhcs, F.lit(0.0)), F.lit(0.0), known)
-    return F.when(day["date"] == first_date, _identity()).otherwise(change)
+    nothing = F.struct(F.when(awhcs.isNotNull(), 0.0).alias("shift"), F.lit(-_DOUBLE_MAX).alias("low"),
+                       F.lit(_DOUBLE_MAX).alias("high"))
+    # The result has the type of its start, whose numbers may then be missing.
+    return F.aggregate(days, nothing.cast("struct<shift:double,low:double,high:double>"), then)
 
 
 def _applied(change: Column, w: Column) -> Column:
-    moved = F.least(change["high"], F.greatest(change["low"], w + change["shift"]))
-    return F.when(change["known"] & w.isNotNull(), moved)
+    moved = w + change["shift"]
+    return F.when(moved.isNotNull(), F.least(change["high"], F.greatest(change["low"], moved)))
 
 
-def _replayed(days: Column, start: Column, first_date: Column, awhcs: Column) -> Column:
-    """(date, ws, es) of the days of a block from the deficit before it."""
+def _deficits(days: Column, start: Column, awhcs: Column) -> Column:
+    """The deficit before the days, then after each of them. A missing one stays missing."""
     def step(done: Column, day: Column) -> Column:
-        w = done["w"]
-        es = strict_least(day["pet"], awhcs + w)
-        ws = strict_least(F.lit(0.0), w + day["p"] - es)
-        is_first = day["date"] == first_date
-        es, ws = F.when(is_first, 0.0).otherwise(es), F.when(is_first, w).otherwise(ws)
-        row = F.struct(day["date"].alias("date"), ws.alias("ws"), es.alias("es"))
-        return F.struct(ws.alias("w"), F.concat(done["rows"], F.array(row)).alias("rows"))
+        w = F.element_at(done, -1)
+        after = F.least(F.lit(0.0), w + day["p"] - F.least(day["pet"], awhcs + w))
+        return F.concat(done, F.array(F.when((w + day["change"] + awhcs).isNotNull(), after)))
 
-    empty = F.array().cast("array<struct<date:date,ws:double,es:double>>")
-    return F.aggregate(days, F.struct(start.alias("w"), empty.alias("rows")), step,
-                       lambda done: done["rows"])
+    return F.aggregate(days, F.array(start).cast("array<double>"), step)
 
 
 def top_store_scan(daily: DataFrame, treatments: DataFrame, pet_col: str = "pet",
@@ -116,13 +100,16 @@ def top_store_scan(daily: DataFrame, treatments: DataFrame, pet_col: str = "pet"
     starts = starts.filter(F.assert_true(~F.coalesce(unknown, F.lit(True)), F.concat(
         F.lit("no precipitation column for irrigation "),
         F.coalesce(F.col("irrigation").cast("string"), F.lit("null")))).isNull())
+    # Treatments that come twice are series of their own.
+    starts = (starts.filter("n_rate IS NOT NULL").groupBy(*_SERIES)
+              .agg(F.count("*").cast("int").alias("times")))
     blocks = _day_blocks(daily, levels, pet_col, block)
     firsts = blocks.groupBy("site_id").agg(F.min(F.col("days")[0]["date"]).alias("first_date"))
     of_site = starts.join(firsts, "site_id")
-    pieces = blocks.join(of_site, "site_id").withColumn("days", _of_level(levels))
     first_date, awhcs = F.col("first_date"), F.col("awhcs")
-    maps = pieces.select(*_TREATMENT, "block", "ws0", F.aggregate(
-        "days", _identity(), lambda m, d: _then(m, _day_map(d, first_date, awhcs))).alias("change"))
+    # Only numbers of treatments are copied in a shuffle; days travel once per level.
+    maps = blocks.join(of_site, ["site_id", "irrigation"]).select(
+        *_SERIES, "first_date", "times", "block", _block_map(_walked(first_date), awhcs).alias("change"))
 
     def before(done: Column, piece: Column) -> Column:
         kept = F.struct(piece["block"].alias("block"), done["w"].alias("start"))
@@ -130,12 +117,23 @@ def top_store_scan(daily: DataFrame, treatments: DataFrame, pet_col: str = "pet"
                         F.concat(done["starts"], F.array(kept)).alias("starts"))
 
     kind = maps.schema["block"].dataType.simpleString()
-    none = F.array().cast(f"array<struct<block:{kind},start:double>>")
-    began = (maps.groupBy(*_TREATMENT, "ws0")
+    none = F.struct(F.col("ws0").alias("w"), F.array().alias("starts")).cast(
+        f"struct<w:double,starts:array<struct<block:{kind},start:double>>>")
+    began = (maps.groupBy(*_SERIES, "first_date", "times")
              .agg(F.sort_array(F.collect_list(F.struct("block", "change"))).alias("pieces"))
-             .select(*_TREATMENT, F.inline(F.aggregate(
-                 "pieces", F.struct(F.col("ws0").alias("w"), none.alias("starts")), before,
-                 lambda done: done["starts"]))))
-    return (pieces.join(began, [*_TREATMENT, "block"])
-            .select(*_TREATMENT, F.inline(_replayed(F.col("days"), F.col("start"),
-                                                    first_date, awhcs))))
+             .select("site_id", "irrigation", "n_rate", "awhcs", "first_date", "times", F.inline(F.aggregate(
+                 "pieces", none, before, lambda done: done["starts"])))
+             .withColumn("again", F.explode(F.sequence(F.lit(1), "times"))).drop("again", "times"))
+    # A first day changes nothing: its deficit is the start, before and after.
+    days, start = F.col("days"), F.col("start")
+    held = _deficits(_walked(first_date), start, awhcs)
+    held = F.when(days[0]["date"] == first_date, F.concat(F.array(start), held)).otherwise(held)
+    walked = blocks.join(began, ["site_id", "irrigation", "block"]).select(
+        *_TREATMENT, "awhcs", "first_date", "days", held.alias("held"))
+    rows = (walked.select(*_TREATMENT, "awhcs", "first_date", "days",
+                          F.slice("held", 1, F.size("days")).alias("before"),
+                          F.slice("held", 2, F.size("days")).alias("ws"))
+            .select(*_TREATMENT, "awhcs", "first_date", F.inline(F.arrays_zip("days", "before", "ws"))))
+    es = strict_least(F.col("days.pet"), awhcs + F.col("before"))
+    return rows.select(*_TREATMENT, F.col("days.date").alias("date"), "ws",
+                       F.when(F.col("days.date") == first_date, 0.0).otherwise(es).alias("es"))

@@ -63,3 +63,18 @@ def test_two_measurements_of_one_day(spark):
         assert [(m.date.day, m.swd) for m in row.measured] == [(1, -1.0), (2, value), (3, None)]
     with pytest.raises(ValueError):
         nested_resets(reset, "first")
+
+
+def test_treatments_that_come_twice(spark):
+    daily, starts, _, _ = make(spark, sites=2)
+    once = top_store_scan(daily, starts)
+    both = top_store_scan(daily, starts.union(starts)).groupBy(*KEYS, "ws", "es").count()
+    assert both.where("count <> 2").count() == 0 and both.count() == once.count()
+
+
+def test_days_travel_once_per_level(spark):
+    daily, starts, _, _ = make(spark)
+    plan = top_store_scan(daily, starts)._jdf.queryExecution().optimizedPlan().toString()
+    # A shuffle that groups or joins by rate would carry the days of every treatment.
+    joins = [line for line in plan.splitlines() if " Join " in line or line.startswith("Join")]
+    assert joins and not any("n_rate" in line for line in joins)
