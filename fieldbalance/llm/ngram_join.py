@@ -195,23 +195,15 @@ def _search(numbered: DataFrame, n: int, percent: int, longest: int, count_links
         """The pairs (a, b) that link, both sets in hand, as a stored table."""
         pairs = stored(found, "candidates")
 
-        def link(batches):
-            import numpy as np
-            import pandas as pd
-            for batch in batches:
-                keep = []
-                for s, t in zip(batch["s"], batch["t"]):
-                    both = len(np.intersect1d(s, t, assume_unique=True))
-                    keep.append(100 * both >= percent * (len(s) + len(t) - both))
-                yield pd.DataFrame({"a": batch["a"][keep], "b": batch["b"][keep]})
-
         ends = pairs.select(F.col("a").alias("id")).union(pairs.select(F.col("b").alias("id"))).distinct()
         # Few sets are in any pair: nearly all others stay where they are.
         ends = stored(ends, "paired")
         sets = stored(maybe_among(one.select("id", "set"), "id", ends).join(ends, "id"), "paired-sets")
         left = pairs.join(sets.withColumnsRenamed({"id": "a", "set": "s"}), "a")
-        both = left.join(sets.withColumnsRenamed({"id": "b", "set": "t"}), "b")
-        linked = stored(both.select("a", "b", "s", "t").mapInPandas(link, "a long, b long"), name)
+        pair = left.join(sets.withColumnsRenamed({"id": "b", "set": "t"}), "b")
+        # One pair at a time, inside the JVM: a batch of pairs for Python holds thousands of sets twice.
+        both = F.size(F.array_intersect("s", "t"))
+        linked = stored(pair.where(100 * both >= percent * (F.size("s") + F.size("t") - both)).select("a", "b"), name)
         dropped(pairs, ends, sets)
         return linked
 

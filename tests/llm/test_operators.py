@@ -486,3 +486,21 @@ def test_short_items_and_clashing_names(spark, odd_docs):
     named = odd_docs.withColumnsRenamed({"row": "_row", "set": "_time", "size": "doc"})
     mixed = mixing.mixed(named)
     assert mixed.columns == named.columns and {r["_row"] for r in mixed.collect()} == {1}
+
+
+def test_ngram_join_checks_pairs_without_python_batches(spark, monkeypatch):
+    plans, stored = {}, ngram_join.stored
+
+    def kept(df, name, **settings):
+        plans[name] = df._jdf.queryExecution().optimizedPlan().toString()
+        return stored(df, name, **settings)
+
+    monkeypatch.setattr(ngram_join, "stored", kept)
+    words = [f"w{i}" for i in range(60)]
+    texts = [" ".join(words), " ".join([*words, "x"]), " ".join(words[:30]), None]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: (r.component_id, r.n_links) for r in ngram_join.similar(docs).collect()}
+    assert got == {0: (0, 1), 1: (0, 1), 2: (2, 0), 3: (3, 0)}
+    # A batch of pairs holds thousands of whole sets in memory, each as often as it is paired.
+    assert {"first-links", "second-links"} <= set(plans)
+    assert not any("MapInPandas" in plans[name] for name in ("first-links", "second-links"))
