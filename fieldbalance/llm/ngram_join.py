@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from fieldbalance.llm.common import (byte_words, dropped, maybe_among, shingle_hashes, stored, table, tasks,
@@ -15,6 +15,12 @@ LONGEST = 4
 CHECK_COST = 50.0
 #: A class of equal sets above this share of all rows is searched by one of its rows.
 HEAVY = 10_000
+#: 64-bit words of a parity bitmap, and of a second one that sets of at least LARGE have.
+WORDS = 16
+WIDE_WORDS = 64
+LARGE = 2000
+#: Rows of a token that meet all its others before every pair does, turn by turn.
+HUBS = (8, 64)
 #: Sets compared side by side when links are counted: a task holds two such blocks.
 BLOCK = 256
 
@@ -25,6 +31,27 @@ def shingle_set(text: str | None, n: int):
     return np.unique(shingle_hashes(word_hashes(byte_words(text, lower=True)), n))
 
 
+def parity(s, words: int):
+    """Bitmap of a set: bit i tells whether an odd number of its hashes falls on i."""
+    import numpy as np
+    odd = np.bincount((s % np.uint64(64 * words)).astype(np.int64), minlength=64 * words) & 1
+    return np.packbits(odd.astype(bool), bitorder="little").view("<i8")
+
+
+def _may_link(x: str, y: str, percent: int) -> Column:
+    """False only for pairs that do not link, from their sizes and bitmaps alone.
+
+    Bitmaps differ in at most one bit for each shingle that one set has alone, and sets
+    that link have at most (100 - percent) / (100 + percent) of both sizes alone.
+    """
+    most = (100 - percent) * (F.col(f"{x}.n_shingles") + F.col(f"{y}.n_shingles"))
+    bits = [F.bit_count(F.col(f"{x}.bits")[i].bitwiseXOR(F.col(f"{y}.bits")[i])) for i in range(WORDS)]
+    wide = F.aggregate(F.zip_with(f"{x}.wide", f"{y}.wide", lambda p, q: F.bit_count(p.bitwiseXOR(q))),
+                       F.lit(0), lambda total, one: total + one)
+    large = F.least(f"{x}.n_shingles", f"{y}.n_shingles") >= LARGE
+    return ((100 + percent) * sum(bits[1:], bits[0]) <= most) & (~large | ((100 + percent) * wide <= most))
+
+
 def components(links: DataFrame) -> DataFrame:
     """(id, root) of every id that has a link: the smallest id reachable over links (a, b).
 
@@ -119,13 +146,15 @@ def _search(numbered: DataFrame, n: int, percent: int, longest: int, count_links
             sets = [shingle_set(t, n) for t in part["text"]]
             yield pd.DataFrame({"row": part["row"], "doc_id": part["doc_id"], "n_shingles": [len(s) for s in sets],
                                 "key": [hashlib.blake2b(s.tobytes(), digest_size=16).digest() for s in sets],
+                                "bits": [parity(s, WORDS) for s in sets],
+                                "wide": [parity(s, WIDE_WORDS) if len(s) >= LARGE else [] for s in sets],
                                 "set": [s.view("int64") for s in sets]}, index=part.index)
 
     # Sets are made once; nothing below reads a text again.
     whole = stored(numbered.mapInPandas(
-        shingled, "row long, doc_id long, n_shingles long, key binary, set array<long>"), "sets",
+        shingled, "row long, doc_id long, n_shingles long, key binary, bits array<long>, wide array<long>, set array<long>"), "sets",
         row_group_bytes=16 << 20)
-    rows = stored(whole.select("row", "doc_id", "n_shingles", "key"), "keys")
+    rows = stored(whole.select("row", "doc_id", "n_shingles", "key", "bits", "wide"), "keys")
     total = rows.count()
     classes = rows.where("n_shingles > 0").groupBy("key").agg(
         F.min("row").alias("first"), F.count("*").alias("copies")).where(F.col("copies") > max(1, total // HEAVY))
@@ -137,7 +166,7 @@ def _search(numbered: DataFrame, n: int, percent: int, longest: int, count_links
 
     one = searched(whole).select("id", "n_shingles", "set")
     # Sizes and ids come from the narrow table, which outlives the sets.
-    nodes = searched(rows).select("id", "n_shingles")
+    nodes = searched(rows).select("id", "n_shingles", "bits", "wide")
 
     def sketch(batches):
         import numpy as np
@@ -194,7 +223,6 @@ def _search(numbered: DataFrame, n: int, percent: int, longest: int, count_links
     def checked(found: DataFrame, name: str) -> DataFrame:
         """The pairs (a, b) that link, both sets in hand, as a stored table."""
         pairs = stored(found, "candidates")
-
         ends = pairs.select(F.col("a").alias("id")).union(pairs.select(F.col("b").alias("id"))).distinct()
         # Few sets are in any pair: nearly all others stay where they are.
         ends = stored(ends, "paired")
@@ -217,22 +245,43 @@ def _search(numbered: DataFrame, n: int, percent: int, longest: int, count_links
              .groupBy(F.least("x.id", "y.hub").alias("a"), F.greatest("x.id", "y.hub").alias("b"))
              .agg(F.count("*").alias("shared"), F.first(F.least("x.matches", "y.hub_matches")).alias("least"))
              .where("shared >= least").select("a", "b"))
-    first = checked(stars, "first-links")
-    root = components(first)
+    # Bitmaps are small: sets are fetched only for pairs whose bitmaps are close, too.
+    stars = (stars.join(nodes.alias("x"), F.col("a") == F.col("x.id")).join(nodes.alias("y"), F.col("b") == F.col("y.id"))
+             .where(_may_link("x", "y", percent)).select("a", "b"))
+    links = checked(stars, "first-links")
+
+    def still_apart(root: DataFrame) -> DataFrame:
+        """The postings of tokens in more than one component, with root, bitmap and rows of the token."""
+        rooted = postings.join(root, "id", "left").withColumn("root", F.coalesce("root", "id"))
+        mixed = (rooted.groupBy("token").agg(F.min("root").alias("low"), F.max("root").alias("high"), F.count("*").alias("many"))
+                 .where("low < high").select("token", "many"))
+        return stored(rooted.join(stored(mixed, "mixed"), "token").join(nodes.select("id", "bits", "wide"), "id"), "apart")
+
+    def pairs_of(xs: DataFrame, ys: DataFrame, once: Column) -> DataFrame:
+        """(a, b, shared, least): pairs of different components by the tokens on which they meet."""
+        return (xs.alias("x").join(ys.alias("y"), (F.col("x.token") == F.col("y.token")) & once
+                                   & (F.col("x.root") != F.col("y.root")) & close & _may_link("x", "y", percent))
+                .groupBy(F.least("x.id", "y.id").alias("a"), F.greatest("x.id", "y.id").alias("b"))
+                .agg(F.count("*").alias("shared"), F.first(F.least("x.matches", "y.matches")).alias("least")))
+
+    # Then against some more hubs, so that a large loose group holds together before all pairs meet.
+    for hubs_each in HUBS:
+        root = components(links)
+        apart = still_apart(root)
+        large = apart.where(F.col("many") > hubs_each)  # in the others all pairs are fewer
+        place = F.row_number().over(Window.partitionBy("token").orderBy(F.xxhash64("id", F.lit(hubs_each)), "id"))
+        hubs = large.withColumn("place", place).where(F.col("place") <= hubs_each).drop("place")
+        # A hub need not be one on every shared token: nothing is asked of their number.
+        more = pairs_of(large, hubs, F.col("x.id") != F.col("y.id")).select("a", "b")
+        links = links.unionByName(checked(more, "more-links"))
+        dropped(apart, root)
     # Then all pairs of rows that are still apart.
-    apart = postings.join(root, "id", "left").withColumn("root", F.coalesce("root", "id"))
-    mixed = (apart.groupBy("token").agg(F.min("root").alias("low"), F.max("root").alias("high"))
-             .where("low < high").select("token"))
-    apart = stored(apart.join(stored(mixed, "mixed"), "token"), "apart")
-    x, y = apart.alias("x"), apart.alias("y")
-    rest = (x.join(y, (F.col("x.token") == F.col("y.token")) & (F.col("x.id") < F.col("y.id"))
-                   & (F.col("x.root") != F.col("y.root")) & close)
-            .groupBy(F.col("x.id").alias("a"), F.col("y.id").alias("b"))
-            .agg(F.count("*").alias("shared"), F.first(F.least("x.matches", "y.matches")).alias("least"))
-            .where("shared >= least").select("a", "b"))
-    second = checked(rest, "second-links")
+    root = components(links)
+    apart = still_apart(root)
+    rest = pairs_of(apart, apart, F.col("x.id") < F.col("y.id")).where("shared >= least").select("a", "b")
+    rest = checked(rest, "second-links")
     dropped(postings, held, apart, root)
-    final = components(first.unionByName(second))
+    final = components(links.unionByName(rest))
     # A row finds its component by itself, or by the first of its heavy class.
     found = rows.join(F.broadcast(heavy), "key", "left").select(
         "row", "doc_id", "n_shingles", F.coalesce("first", "row").alias("id"),
@@ -252,7 +301,7 @@ def _search(numbered: DataFrame, n: int, percent: int, longest: int, count_links
         found = found.withColumn("n_links", F.lit(None).cast("long"))
     answer = stored(found.select("row", "doc_id", "n_shingles", "root", "n_links"), "answer")
     dropped(whole)
-    dropped(rows, heavy, first, second)
+    dropped(rows, heavy, links, rest)
     return answer
 
 
@@ -293,7 +342,8 @@ def first_of_each(docs: DataFrame, n: int = 4, percent: int = 85, longest: int =
 
     Rows whose text has no words link with nothing and stay, repeated ones too.
     """
-    whole = stored(_numbered(docs, F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc")), "whole")
+    whole = stored(_numbered(docs, F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc")), "whole",
+                   compression="zstd")
     answer = _search(whole.select("row", "doc.doc_id", "doc.text"), n, percent, longest, count_links=False)
     stay = _smallest(answer).select(F.col("first.row").alias("row")).unionByName(
         answer.where("root IS NULL").select("row"))

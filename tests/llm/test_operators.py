@@ -504,3 +504,35 @@ def test_ngram_join_checks_pairs_without_python_batches(spark, monkeypatch):
     # A batch of pairs holds thousands of whole sets in memory, each as often as it is paired.
     assert {"first-links", "second-links"} <= set(plans)
     assert not any("MapInPandas" in plans[name] for name in ("first-links", "second-links"))
+
+
+def test_ngram_join_fetches_no_sets_for_far_pairs(spark, monkeypatch):
+    """Texts of common passages share many frequent tokens; their bitmaps tell that they do not link."""
+    found, stored = {}, ngram_join.stored
+
+    def kept(df, name, **settings):
+        table = stored(df, name, **settings)
+        found[name] = found.get(name, 0) + table.count()
+        return table
+
+    monkeypatch.setattr(ngram_join, "stored", kept)
+    rng = np.random.default_rng(4)
+    passages = [" ".join(f"p{i}w{k}" for k in range(20)) for i in range(30)]
+    docs = [(i, " ".join(passages[k] for k in rng.permutation(30)[:14])) for i in range(60)]
+    # Large sets, two of them near each other.
+    long = [f"l{k}" for k in range(2200)]
+    docs += [(100, " ".join(long)), (101, " ".join([*long[:2150], "x"])), (102, " ".join(long[:1100] + [f"m{k}" for k in range(1100)]))]
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    got = sorted((r.doc_id, r.n_shingles, r.component_id) for r in ngram_join.similar(df).collect())
+    assert got == brute_groups(docs)
+    assert found["candidates"] < 30  # of 1,770 pairs that share tokens
+
+
+def test_ngram_join_bitmaps_differ_at_most_as_sets_do():
+    rng = np.random.default_rng(5)
+    for _ in range(200):
+        both, left, right = (rng.integers(0, 1 << 63, rng.integers(0, 300)).astype(np.uint64) for _ in range(3))
+        x, y = np.union1d(both, left), np.union1d(both, right)
+        for words in (ngram_join.WORDS, ngram_join.WIDE_WORDS):
+            bits = ngram_join.parity(x, words) ^ ngram_join.parity(y, words)
+            assert len(bits) == words and np.bitwise_count(bits.view("u8")).sum() <= len(np.setxor1d(x, y))
