@@ -162,6 +162,31 @@ def _cuts_at_spaces(tokenizer) -> bool:
                         for t in parts["added_tokens"]))
 
 
+#: The last memo of this process: the tasks of a worker follow each other and share it.
+_held: dict[tuple, _Pieces] = {}
+
+
+def _pieces(vocabulary: str, end: int) -> _Pieces:
+    """The memo for a tokenizer file as it is now, kept from the tasks before if they had the same."""
+    from tokenizers import Tokenizer
+    # Spark's tasks are the threads; more would only hold more memory.
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"
+    file = os.stat(vocabulary)
+    key = vocabulary, end, file.st_mtime_ns, file.st_size, file.st_ino
+    if key not in _held:
+        _held.clear()
+        tokenizer = Tokenizer.from_file(vocabulary)
+        pieces = _Pieces(tokenizer, end)
+        if not _cuts_at_spaces(tokenizer):
+            pieces.places = lambda text: [pieces.not_held(text), 0] if text else [0]
+        _held[key] = pieces
+    held = _held[key]
+    # A task that was ended half way may have left something.
+    if held.new or held.alone:
+        held.forget()
+    return held
+
+
 def write_tokens(docs: DataFrame, path: str, vocabulary: str, encoding: str = "delta",
                  row_group_bytes: int = 32 << 20, page_rows: int = 2000, end: int = END,
                  files: int | None = None) -> None:
@@ -176,13 +201,7 @@ def write_tokens(docs: DataFrame, path: str, vocabulary: str, encoding: str = "d
     def encode(batches):
         import numpy as np
         import pyarrow as pa
-        from tokenizers import Tokenizer
-        # Spark's tasks are the threads; more would only hold more memory.
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        tokenizer = Tokenizer.from_file(vocabulary)
-        pieces = _Pieces(tokenizer, end)
-        if not _cuts_at_spaces(tokenizer):
-            pieces.places = lambda text: [pieces.not_held(text), 0] if text else [0]
+        pieces = _pieces(vocabulary, end)
         for batch in batches:
             texts = [t or "" for t in batch["text"].to_pylist()]
             at = 0
