@@ -12,7 +12,9 @@ WINDOW = 35
 ANCHOR = 12
 #: Different pieces of one anchor from which its windows are dealt out one by one.
 HOT = 2000
-SHARD_WORDS = 1_000_000
+SHARD_WORDS = 250_000
+#: Rows that are turned at a time: what comes out is wider than a row.
+ROWS = 500
 
 
 class BitRank:
@@ -103,6 +105,10 @@ def anchors(hashes, window: int, anchor: int):
     return at[start], start, np.diff(np.append(start, len(at))), grams
 
 
+def _parts(batches, rows: int):
+    return (b.iloc[i:i + rows] for b in batches for i in range(0, len(b), rows))
+
+
 def _digest(words) -> bytes:
     import hashlib
     return hashlib.blake2b(words.tobytes(), digest_size=16).digest()
@@ -120,15 +126,13 @@ def repeats(rows: DataFrame, window: int = WINDOW, anchor: int = ANCHOR, hot: in
     def segment(batches):
         import numpy as np
         import pandas as pd
-        for batch in batches:
-            out = []
-            for row, text in zip(batch["row"], batch["text"]):
-                at, start, n, grams = anchors(word_hashes(byte_words(text)), window, anchor)
-                if len(at):
-                    out.append(pd.DataFrame({"row": row, "anchor": grams[at].view(np.int64),
-                                             "start": start.astype(np.int32), "n": n.astype(np.int32)}))
-            if out:
-                yield pd.concat(out)
+        for batch in _parts(batches, ROWS):
+            found = [anchors(word_hashes(byte_words(text)), window, anchor) for text in batch["text"]]
+            yield pd.DataFrame({
+                "row": np.repeat(batch["row"].to_numpy(), [len(at) for at, _, _, _ in found]),
+                "anchor": np.concatenate([grams[at] for at, _, _, grams in found]).view(np.int64),
+                "start": np.concatenate([start for _, start, _, _ in found]).astype(np.int32),
+                "n": np.concatenate([n for _, _, n, _ in found]).astype(np.int32)})
 
     segments = stored(rows.select("row", "text").mapInPandas(segment, "row long, anchor long, start int, n int"), "segments")
     met = stored(segments.groupBy("anchor").agg(F.sum("n").alias("n"), F.count("*").alias("times"))
@@ -139,19 +143,20 @@ def repeats(rows: DataFrame, window: int = WINDOW, anchor: int = ANCHOR, hot: in
     def cut(batches):
         import pandas as pd
         sent = set()
-        for batch in batches:
+        for batch in _parts(batches, ROWS):
             out = []
-            for row, text, segments in zip(batch["row"], batch["text"], batch["segments"]):
+            for row, text, keys, starts, sizes in zip(*(batch[c] for c in ("row", "text", "anchor", "start", "n"))):
                 hashes = word_hashes(byte_words(text)).view("int64")
-                for s in segments:
-                    words = hashes[s["start"]:s["start"] + s["n"] + window - 1]
+                for key, start, n in zip(keys.tolist(), starts.tolist(), sizes.tolist()):
+                    words = hashes[start:start + n + window - 1]
                     digest = _digest(words)
-                    out.append((row, s["start"], s["anchor"], digest, None if digest in sent else words))
+                    out.append((row, start, key, digest, None if digest in sent else words))
                     if len(sent) < 200_000:  # saves traffic only; a digest may be sent twice
                         sent.add(digest)
             yield pd.DataFrame(out, columns=["row", "start", "anchor", "digest", "words"])
 
-    pieces = stored(wanted.join(rows.select("row", "text"), "row").select("row", "text", "segments").mapInPandas(
+    pieces = stored(wanted.join(rows.select("row", "text"), "row").select(
+        "row", "text", "segments.anchor", "segments.start", "segments.n").mapInPandas(
         cut, "row long, start int, anchor long, digest binary, words array<long>"), "pieces")
     dropped(segments, met)
     distinct = stored(pieces.groupBy("digest").agg(F.first("words", True).alias("words"), F.count("*").alias("times"),
@@ -165,7 +170,7 @@ def repeats(rows: DataFrame, window: int = WINDOW, anchor: int = ANCHOR, hot: in
     def windows(batches):
         import numpy as np
         import pandas as pd
-        for batch in batches:
+        for batch in _parts(batches, ROWS):
             out = []
             for digest, words, times in zip(batch["digest"], batch["words"], batch["times"]):
                 words = np.asarray(words)
@@ -223,7 +228,7 @@ def dedup(docs: DataFrame, window: int = WINDOW, **settings) -> DataFrame:
     def keep(batches):
         import numpy as np
         import pandas as pd
-        for batch in batches:
+        for batch in _parts(batches, ROWS):
             out = []
             for doc_id, text, starts in zip(batch["doc_id"], batch["text"], batch["starts"]):
                 words = byte_words(text)

@@ -536,3 +536,10 @@ def test_ngram_join_bitmaps_differ_at_most_as_sets_do():
         for words in (ngram_join.WORDS, ngram_join.WIDE_WORDS):
             bits = ngram_join.parity(x, words) ^ ngram_join.parity(y, words)
             assert len(bits) == words and np.bitwise_count(bits.view("u8")).sum() <= len(np.setxor1d(x, y))
+
+
+def test_substring_turns_some_rows_at_a_time():
+    import pandas as pd
+    batch = pd.DataFrame({"row": range(1203)})
+    parts = list(substring._parts([batch, batch.iloc[:0]], substring.ROWS))
+    assert [len(p) for p in parts] == [500, 500, 203] and pd.concat(parts).equals(batch)
