@@ -147,3 +147,23 @@ def test_shared_folder_comes_from_the_session(spark):
 def test_spread_leaves_a_wide_scan_alone(spark):
     assert spread(spark.range(100, numPartitions=9)).rdd.getNumPartitions() == 9
     assert spread(spark.range(100, numPartitions=1)).rdd.getNumPartitions() == 4
+
+
+def test_tagged_folders_are_made_by_many_tasks_and_listed_by_few(spark, tmp_path):
+    path = str(tmp_path / "folders")
+    rows = spark.range(120).selectExpr("concat('S', id) AS site_id", "'Wheat' AS crop", "'Sunscan' AS sensor", "id")
+    tagged.write_tagged(rows, path)
+    tasks = {f.split("part-")[1][:5] for f in spark.read.parquet(path).inputFiles()}
+    assert len(tasks) >= spark.sparkContext.defaultParallelism
+    before = spark.conf.get(tagged.LISTING)
+    schema = spark.createDataFrame([], "id long").schema
+    jobs = []
+
+    def load():
+        jobs.append(int(spark.conf.get(tagged.LISTING)))
+        return spark.read.schema(schema).parquet(path)
+
+    assert tagged._listed(spark, load).count() == 120
+    assert jobs == [4 * spark.sparkContext.defaultParallelism] and spark.conf.get(tagged.LISTING) == before
+    got = tagged.read_tagged(spark, path, schema, ["Wheat"], ["Sunscan"], one_folder_each=True)
+    assert sorted((r.site_id, r.id) for r in got.collect()) == sorted((f"S{i}", i) for i in range(120))
