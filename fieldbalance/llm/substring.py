@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from itertools import chain
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -17,63 +19,58 @@ SHARD_WORDS = 250_000
 ROWS = 500
 
 
-class BitRank:
-    """Packed bits with a count per 64; rank in constant time."""
-
-    def __init__(self, bits):
-        import numpy as np
-        padded = np.zeros(-(-(len(bits) + 1) // 64) * 64, bool)
-        padded[:len(bits)] = bits
-        self.words = np.packbits(padded, bitorder="little").view("<u8")
-        self.before = np.concatenate([[0], np.cumsum(np.bitwise_count(self.words), dtype=np.int64)]).astype(np.int32)
-
-    def rank(self, at):
-        import numpy as np
-        word, bit = at >> 6, (at & 63).astype(np.uint64)
-        return self.before[word] + np.bitwise_count(self.words[word] & ((np.uint64(1) << bit) - np.uint64(1)))
+#: Words at the end of a pattern whose range is looked up; the words before them are searched backwards.
+RUN = 16
 
 
 class FMIndex:
     """Index of word sequences for patterns of up to `depth` words."""
 
-    def __init__(self, pieces, weights, depth: int):
+    def __init__(self, words, sizes, weights, depth: int):
+        """`words` of all sequences one after the other, `sizes` words each."""
         import numpy as np
-        sizes = np.array([len(p) for p in pieces], np.int64)
+        sizes = np.asarray(sizes, np.int64)
         starts = np.cumsum(sizes + 1) - sizes - 1
         joined = np.zeros(int((sizes + 1).sum()), np.int64)
         inside = np.ones(len(joined), bool)
         inside[starts + sizes] = False
-        _, code = np.unique(np.concatenate(pieces), return_inverse=True)
+        _, code = np.unique(words, return_inverse=True)
         joined[inside] = code + 1
         self.text, self.starts, self.sizes = joined, starts, sizes
         n = len(joined)
+        # Where depth words agree the order does not matter: no pattern is longer.
         rank, step = joined.copy(), 1
-        order = np.argsort(rank, kind="stable")
+        order = np.argsort(rank) if depth < 2 else None
+        self.run = 0
         while step < depth:
             key = rank * (n + 1)
             key[:-step or None] += rank[step:] + 1 if step < n else 0
-            order = np.argsort(key, kind="stable")
+            order = np.argsort(key)
             ordered = key[order]
+            head = np.flatnonzero(np.concatenate([[True], ordered[1:] != ordered[:-1], [True]]))
             rank = np.empty(n, np.int64)
-            rank[order] = np.concatenate([[0], np.cumsum(ordered[1:] != ordered[:-1])])
+            rank[order] = np.repeat(np.arange(len(head) - 1), np.diff(head))
             step *= 2
+            if step <= RUN:
+                self.run, self.run_low, self.run_high = step, head[:-1][rank], head[1:][rank]
         weight_at = np.repeat(np.asarray(weights, np.int64), sizes + 1)
         self.weight = np.concatenate([[0], np.cumsum(weight_at[order])])
         bwt = joined[order - 1]
         symbols = int(joined.max()) + 1
         self.first = np.concatenate([[0], np.cumsum(np.bincount(joined, minlength=symbols))])[:-1]
+        # Per level: where each place goes to, first if its symbol's bit is 0, then if it is 1.
         self.levels, current = [], bwt
         for bit in range(max(1, int(symbols - 1).bit_length()) - 1, -1, -1):
             ones = ((current >> bit) & 1).astype(bool)
-            self.levels.append((bit, BitRank(ones), int(len(current) - ones.sum())))
+            before = np.concatenate([[0], np.cumsum(ones)])
+            self.levels.append((bit, np.concatenate([np.arange(n + 1) - before, n - before[-1] + before])))
             current = np.concatenate([current[~ones], current[ones]])
         self.base = self._down(np.arange(symbols), np.zeros(symbols, np.int64))
 
     def _down(self, symbol, at):
-        import numpy as np
-        for bit, bits, zeros in self.levels:
-            ones = bits.rank(at)
-            at = np.where((symbol >> bit) & 1, zeros + ones, at - ones)
+        width = len(self.text) + 1
+        for bit, steps in self.levels:
+            at = steps.take(((symbol >> bit) & 1) * width + at, mode="clip")
         return at
 
     def repeated(self, length: int):
@@ -82,27 +79,58 @@ class FMIndex:
         counts = np.maximum(self.sizes - length + 1, 0)
         piece = np.repeat(np.arange(len(counts)), counts)
         offset = np.arange(len(piece)) - np.repeat(np.cumsum(counts) - counts, counts)
-        low, high = np.zeros(len(piece), np.int64), np.full(len(piece), len(self.text), np.int64)
-        for j in range(length - 1, -1, -1):
-            symbol = self.text[self.starts[piece] + offset + j]
-            shift = self.first[symbol] - self.base[symbol]
-            low, high = shift + self._down(symbol, low), shift + self._down(symbol, high)
+        at = self.starts[piece] + offset
+        both = np.repeat([[0], [len(self.text)]], len(piece), axis=1)
+        # The last words of a pattern are a run whose range is known; the others are searched.
+        known = self.run if self.run < length else 0
+        if known:
+            both = np.stack([self.run_low[at + length - known], self.run_high[at + length - known]])
+        for j in range(length - known - 1, -1, -1):
+            symbol = self.text[at + j]
+            both = self._down(symbol, both) + (self.first[symbol] - self.base[symbol])
             # A range that holds one occurrence only can never hold another.
-            alive = self.weight[high] - self.weight[low] >= 2
-            piece, offset, low, high = piece[alive], offset[alive], low[alive], high[alive]
+            alive = np.flatnonzero(self.weight[both[1]] - self.weight[both[0]] >= 2)
+            if len(alive) < len(at):
+                piece, offset, at, both = piece[alive], offset[alive], at[alive], both[:, alive]
         return piece, offset
 
 
-def anchors(hashes, window: int, anchor: int):
-    """(position, start, windows) of runs of windows with the same leftmost least k-gram."""
+def anchors(hashes, window: int, anchor: int, sizes=None):
+    """(position, start, windows, grams) of runs of windows with the same leftmost least k-gram.
+
+    `hashes` are the words of one text, or of many one after the other, `sizes` words
+    each; then positions and starts count from the first word of all, and no run leaves its text.
+    """
     import numpy as np
     if len(hashes) < window:
         return (np.zeros(0, np.int64),) * 3 + (np.zeros(0, np.uint64),)
     grams = shingle_hashes(hashes, anchor)
-    least = np.lib.stride_tricks.sliding_window_view(grams, window - anchor + 1).argmin(axis=1)
-    at = least + np.arange(len(least))
-    start = np.flatnonzero(np.concatenate([[True], at[1:] != at[:-1]]))
-    return at[start], start, np.diff(np.append(start, len(at))), grams
+    # Leftmost least of 2, 4, 8, ... grams, then of as many as a window holds.
+    wide, least, at = window - anchor + 1, grams, np.arange(len(grams))
+    reach = 1
+    while reach < wide:
+        step = min(reach, wide - reach)
+        later = least[step:] < least[:-step]
+        least, at = np.where(later, least[step:], least[:-step]), np.where(later, at[step:], at[:-step])
+        reach += step
+    first = np.concatenate([[True], at[1:] != at[:-1]])
+    if sizes is None:
+        start = np.flatnonzero(first)
+        return at[start], start, np.diff(np.append(start, len(at))), grams
+    ends = np.cumsum(sizes)
+    heads = ends - sizes
+    inside = np.zeros(len(hashes) + 1, np.int32)
+    whole = sizes >= window
+    np.add.at(inside, heads[whole], 1)
+    np.add.at(inside, ends[whole] - window + 1, -1)
+    inside = np.cumsum(inside)[:len(at)] > 0
+    first[heads[whole]] = True
+    first &= inside
+    start = np.flatnonzero(first)
+    # A run ends where the next begins, or with the last window of its text.
+    text = np.searchsorted(ends, start, side="right")
+    after = np.minimum(np.append(start[1:], len(at)), ends[text] - window + 1)
+    return at[start], start, after - start, grams
 
 
 def _parts(batches, rows: int):
@@ -127,12 +155,14 @@ def repeats(rows: DataFrame, window: int = WINDOW, anchor: int = ANCHOR, hot: in
         import numpy as np
         import pandas as pd
         for batch in _parts(batches, ROWS):
-            found = [anchors(word_hashes(byte_words(text)), window, anchor) for text in batch["text"]]
+            texts = [byte_words(text) for text in batch["text"]]
+            sizes = np.array([len(words) for words in texts], np.int64)
+            heads = np.cumsum(sizes) - sizes
+            at, start, n, grams = anchors(word_hashes(list(chain.from_iterable(texts))), window, anchor, sizes)
+            text = np.searchsorted(heads + sizes, start, side="right")
             yield pd.DataFrame({
-                "row": np.repeat(batch["row"].to_numpy(), [len(at) for at, _, _, _ in found]),
-                "anchor": np.concatenate([grams[at] for at, _, _, grams in found]).view(np.int64),
-                "start": np.concatenate([start for _, start, _, _ in found]).astype(np.int32),
-                "n": np.concatenate([n for _, _, n, _ in found]).astype(np.int32)})
+                "row": batch["row"].to_numpy()[text], "anchor": grams[at].view(np.int64),
+                "start": (start - heads[text]).astype(np.int32), "n": n.astype(np.int32)})
 
     segments = stored(rows.select("row", "text").mapInPandas(segment, "row long, anchor long, start int, n int"), "segments")
     met = stored(segments.groupBy("anchor").agg(F.sum("n").alias("n"), F.count("*").alias("times"))
@@ -141,22 +171,39 @@ def repeats(rows: DataFrame, window: int = WINDOW, anchor: int = ANCHOR, hot: in
               .agg(F.collect_list(F.struct("anchor", "start", "n")).alias("segments")))
 
     def cut(batches):
-        import pandas as pd
+        from hashlib import blake2b
+
+        import numpy as np
+        import pyarrow as pa
         sent = set()
-        for batch in _parts(batches, ROWS):
-            out = []
-            for row, text, keys, starts, sizes in zip(*(batch[c] for c in ("row", "text", "anchor", "start", "n"))):
-                hashes = word_hashes(byte_words(text)).view("int64")
-                for key, start, n in zip(keys.tolist(), starts.tolist(), sizes.tolist()):
-                    words = hashes[start:start + n + window - 1]
-                    digest = _digest(words)
-                    out.append((row, start, key, digest, None if digest in sent else words))
-                    if len(sent) < 200_000:  # saves traffic only; a digest may be sent twice
-                        sent.add(digest)
-            yield pd.DataFrame(out, columns=["row", "start", "anchor", "digest", "words"])
+        for part in (b.slice(i, ROWS) for b in batches for i in range(0, b.num_rows, ROWS)):
+            texts = [byte_words(text) for text in part["text"].to_pylist()]
+            sizes = np.array([len(words) for words in texts], np.int64)
+            hashes = word_hashes(list(chain.from_iterable(texts))).view(np.int64)
+            each = part["start"].value_lengths().to_numpy()
+            start = part["start"].flatten()
+            begin = np.repeat(np.cumsum(sizes) - sizes, each) + start.to_numpy()
+            length = part["n"].flatten().to_numpy() + np.int64(window - 1)
+            data = memoryview(hashes.tobytes())
+            digests = [blake2b(data[8 * a:8 * (a + n)], digest_size=16).digest()
+                       for a, n in zip(begin.tolist(), length.tolist())]
+            known = np.zeros(len(digests), bool)
+            for i, digest in enumerate(digests):
+                if digest in sent:
+                    known[i] = True
+                elif len(sent) < 200_000:  # saves traffic only; a digest may be sent twice
+                    sent.add(digest)
+            length[known] = 0
+            ends = np.cumsum(length)
+            words = hashes.take(np.arange(ends[-1] if len(ends) else 0) + np.repeat(begin + length - ends, length))
+            offsets = pa.array(np.concatenate([[0], ends]), pa.int32())
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.repeat(part["row"].to_numpy(), each), pa.int64()), start, part["anchor"].flatten(),
+                 pa.array(digests, pa.binary()), pa.ListArray.from_arrays(offsets, pa.array(words), mask=pa.array(known))],
+                ["row", "start", "anchor", "digest", "words"])
 
     pieces = stored(wanted.join(rows.select("row", "text"), "row").select(
-        "row", "text", "segments.anchor", "segments.start", "segments.n").mapInPandas(
+        "row", "text", "segments.anchor", "segments.start", "segments.n").mapInArrow(
         cut, "row long, start int, anchor long, digest binary, words array<long>"), "pieces")
     dropped(segments, met)
     distinct = stored(pieces.groupBy("digest").agg(F.first("words", True).alias("words"), F.count("*").alias("times"),
@@ -189,21 +236,24 @@ def repeats(rows: DataFrame, window: int = WINDOW, anchor: int = ANCHOR, hot: in
 
     def search(batches):
         import numpy as np
-        import pandas as pd
-        held = [b for b in batches if len(b)]
+        import pyarrow as pa
+        held = [b for b in batches if b.num_rows]
         if not held:
             return
-        held = pd.concat(held, ignore_index=True)
-        index = FMIndex([np.asarray(w) for w in held["words"]], held["times"], window)
+        digest, words, times = (pa.concat_arrays([b[c] for b in held]) for c in ("digest", "words", "times"))
+        del held
+        index = FMIndex(words.flatten().to_numpy(), words.value_lengths().to_numpy(), times.to_numpy(), window)
         piece, offset = index.repeated(window)
         if len(piece):
             order = np.lexsort((offset, piece))
             piece, offset = piece[order], offset[order]
-            cuts = np.flatnonzero(np.diff(piece)) + 1
-            yield pd.DataFrame({"digest": held["digest"].to_numpy()[piece[np.concatenate([[0], cuts])]],
-                                "offsets": [o.astype(np.int32) for o in np.split(offset, cuts)]})
+            heads = np.concatenate([[0], np.flatnonzero(np.diff(piece)) + 1])
+            yield pa.RecordBatch.from_arrays(
+                [digest.take(pa.array(piece[heads])), pa.ListArray.from_arrays(
+                    pa.array(np.append(heads, len(piece)), pa.int32()), pa.array(offset, pa.int32()))],
+                ["digest", "offsets"])
 
-    found = stored(units.repartition(shards, "shard").select("digest", "words", "times").mapInPandas(
+    found = stored(units.repartition(shards, "shard").select("digest", "words", "times").mapInArrow(
         search, "digest binary, offsets array<int>"), "found")
     dropped(units)
     of_hot = (single.select("piece", "offset", "digest").join(found.select("digest"), "digest")

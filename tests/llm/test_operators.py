@@ -543,3 +543,45 @@ def test_substring_turns_some_rows_at_a_time():
     batch = pd.DataFrame({"row": range(1203)})
     parts = list(substring._parts([batch, batch.iloc[:0]], substring.ROWS))
     assert [len(p) for p in parts] == [500, 500, 203] and pd.concat(parts).equals(batch)
+
+
+@pytest.mark.parametrize("window", [5, 16, 17, 35])
+def test_index_finds_what_repeats_after_a_looked_up_run(window):
+    import numpy as np
+    rng = np.random.default_rng(3)
+    base = rng.integers(-9, 9, 200)
+    pieces = [base[a:a + n].copy() for a, n in ((0, 60), (20, 50), (90, 40), (100, 70), (150, window))]
+    pieces[1][33] = 77
+    times = [1, 1, 1, 1, 2]
+    index = substring.FMIndex(np.concatenate(pieces), [len(p) for p in pieces], times, window)
+    assert index.run == min(16, 1 << (window - 1).bit_length())
+    seen = {}
+    for p, n in zip(pieces, times):
+        for o in range(len(p) - window + 1):
+            key = tuple(p[o:o + window].tolist())
+            seen[key] = seen.get(key, 0) + n
+    want = [(i, o) for i, p in enumerate(pieces) for o in range(len(p) - window + 1)
+            if seen[tuple(p[o:o + window].tolist())] > 1]
+    got = zip(*(x.tolist() for x in index.repeated(window)))
+    assert sorted(got) == want and want
+
+
+def test_anchors_of_many_texts_are_those_of_each():
+    import numpy as np
+    rng = np.random.default_rng(5)
+    texts = [rng.integers(0, 4, n).astype(np.uint64) for n in (0, 3, 34, 35, 36, 0, 400, 12, 35, 90, 34)]
+    sizes = np.array([len(t) for t in texts])
+    heads = np.cumsum(sizes) - sizes
+    at, start, n, grams = substring.anchors(np.concatenate(texts), 35, 12, sizes)
+    want = []
+    for text, head in zip(texts, heads):
+        if len(text) < 35:
+            continue
+        own = substring.shingle_hashes(text, 12)
+        least = [s + int(np.argmin(own[s:s + 24])) for s in range(len(text) - 34)]
+        for s, place in enumerate(least):
+            if s and least[s - 1] == place:
+                want[-1][2] += 1
+            else:
+                want.append([head + place, head + s, 1, int(own[place])])
+    assert [list(x) for x in zip(at.tolist(), start.tolist(), n.tolist(), grams[at].tolist())] == want
