@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fieldbalance.llm.common import byte_words, shingle_hashes, table, word_hashes
+from fieldbalance.llm.common import byte_words, shingle_hashes, split_among, stored, table, word_hashes
 
 WORDS = 5
 THRESHOLD = 0.8
@@ -167,7 +167,11 @@ def clean(docs: DataFrame, items: DataFrame, **settings) -> DataFrame:
 
     Rows that share id and text go or stay together; null and empty texts stay.
     """
-    found = contaminated(docs, items, **settings).select(F.col("doc_id").alias("d"), F.col("text_key").alias("k"))
-    whole = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"))
+    found = stored(contaminated(docs, items, **settings).select(
+        F.xxhash64("doc_id", "text_key").alias("h"), F.col("doc_id").alias("d"), F.col("text_key").alias("k")), "contaminated")
+    whole = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc")).withColumn(
+        "_key", F.xxhash64("doc.doc_id", F.xxhash64("doc.text")))
     same = F.col("doc.doc_id").eqNullSafe(F.col("d")) & (F.xxhash64("doc.text") == F.col("k"))
-    return whole.join(found, same, "left_anti").select("doc.*")
+    # Few rows hold an item: nearly all others stay where they are.
+    maybe, others = split_among(whole, "_key", found.select("h"))
+    return others.unionByName(maybe.join(found, same, "left_anti")).select("doc.*")
