@@ -128,6 +128,19 @@ def _links_of(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
             .groupBy("id").agg(F.sum("links").alias("links")))
 
 
+def near_in_size(postings: DataFrame, percent: int) -> DataFrame:
+    """The postings (token, n_shingles, ...) without those whose token has no other of nearly that size.
+
+    Sets that link have sizes within the threshold of each other; in order of size, whoever has
+    such a row has one next to it.
+    """
+    by_size = Window.partitionBy("token").orderBy("n_shingles")
+    size = F.col("n_shingles")
+    return (postings.withColumns({"_less": F.lag("n_shingles").over(by_size), "_more": F.lead("n_shingles").over(by_size)})
+            .where((100 * F.col("_less") >= percent * size) | (100 * size >= percent * F.col("_more")))
+            .drop("_less", "_more"))
+
+
 def _search(numbered: DataFrame, n: int, percent: int, longest: int, count_links: bool = True) -> DataFrame:
     """row, doc_id, n_shingles, root, n_links of (row, doc_id, text); root is null without words.
 
@@ -213,9 +226,9 @@ def _search(numbered: DataFrame, n: int, percent: int, longest: int, count_links
 
     postings = stored(one.mapInPandas(prefixes, "id long, token int, n_shingles long, matches int"), "postings")
     held = postings.groupBy("token").agg(F.min("id").alias("hub"), F.max("id").alias("last")).where("hub < last")
-    held = stored(held.select("token", "hub"), "hubs")
+    held = stored(held.select("token"), "held")
     # Most tokens of a prefix are its own: their postings meet nobody and travel no further.
-    met = stored(maybe_among(postings, "token", held.select("token")), "postings")
+    met = stored(maybe_among(postings, "token", held), "postings")
     dropped(postings)
     postings = met
     close = (100 * F.least("x.n_shingles", "y.n_shingles") >= percent * F.greatest("x.n_shingles", "y.n_shingles"))
@@ -236,26 +249,30 @@ def _search(numbered: DataFrame, n: int, percent: int, longest: int, count_links
         return linked
 
     # First each row against one hub per shared token; a group of copies costs its size.
-    sizes = nodes.select(F.col("id").alias("hub"), F.col("n_shingles").alias("hub_size"))
-    needed = postings.select(F.col("id").alias("hub"), "token", F.col("matches").alias("hub_matches"))
-    kept = held.join(needed.join(sizes, "hub"), ["hub", "token"])
-    stars = (postings.alias("x").join(kept.alias("y"), "token")
-             .where("x.id <> y.hub").where(
-                 100 * F.least("x.n_shingles", "y.hub_size") >= percent * F.greatest("x.n_shingles", "y.hub_size"))
-             .groupBy(F.least("x.id", "y.hub").alias("a"), F.greatest("x.id", "y.hub").alias("b"))
-             .agg(F.count("*").alias("shared"), F.first(F.least("x.matches", "y.hub_matches")).alias("least"))
+    hub = Window.partitionBy("token").orderBy("id").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    stars = (postings.withColumns({"hub": F.first("id").over(hub), "hub_size": F.first("n_shingles").over(hub),
+                                   "hub_matches": F.first("matches").over(hub)})
+             .where("id <> hub").where(
+                 100 * F.least("n_shingles", "hub_size") >= percent * F.greatest("n_shingles", "hub_size"))
+             .groupBy(F.col("hub").alias("a"), F.col("id").alias("b"))
+             .agg(F.count("*").alias("shared"), F.first(F.least("matches", "hub_matches")).alias("least"))
              .where("shared >= least").select("a", "b"))
     # Bitmaps are small: sets are fetched only for pairs whose bitmaps are close, too.
     stars = (stars.join(nodes.alias("x"), F.col("a") == F.col("x.id")).join(nodes.alias("y"), F.col("b") == F.col("y.id"))
              .where(_may_link("x", "y", percent)).select("a", "b"))
     links = checked(stars, "first-links")
 
-    def still_apart(root: DataFrame) -> DataFrame:
+    def still_apart(postings: DataFrame, root: DataFrame) -> DataFrame:
         """The postings of tokens in more than one component, with root, bitmap and rows of the token."""
-        rooted = postings.join(root, "id", "left").withColumn("root", F.coalesce("root", "id"))
+        rooted = (postings.select("id", "token", "n_shingles", "matches").join(root, "id", "left")
+                  .withColumn("root", F.coalesce("root", "id")))
         mixed = (rooted.groupBy("token").agg(F.min("root").alias("low"), F.max("root").alias("high"), F.count("*").alias("many"))
                  .where("low < high").select("token", "many"))
-        return stored(rooted.join(stored(mixed, "mixed"), "token").join(nodes.select("id", "bits", "wide"), "id"), "apart")
+        mixed = stored(mixed, "mixed")
+        met = near_in_size(rooted.join(mixed, "token"), percent)
+        met = stored(met.join(nodes.select("id", "bits", "wide"), "id"), "apart")
+        dropped(mixed)
+        return met
 
     def pairs_of(xs: DataFrame, ys: DataFrame, once: Column) -> DataFrame:
         """(a, b, shared, least): pairs of different components by the tokens on which they meet."""
@@ -265,22 +282,25 @@ def _search(numbered: DataFrame, n: int, percent: int, longest: int, count_links
                 .agg(F.count("*").alias("shared"), F.first(F.least("x.matches", "y.matches")).alias("least")))
 
     # Then against some more hubs, so that a large loose group holds together before all pairs meet.
+    apart = postings
     for hubs_each in HUBS:
         root = components(links)
-        apart = still_apart(root)
+        # Components only grow: whoever met only its own stays out of the later rounds.
+        before, apart = apart, still_apart(apart, root)
+        dropped(before, root)
         large = apart.where(F.col("many") > hubs_each)  # in the others all pairs are fewer
         place = F.row_number().over(Window.partitionBy("token").orderBy(F.xxhash64("id", F.lit(hubs_each)), "id"))
         hubs = large.withColumn("place", place).where(F.col("place") <= hubs_each).drop("place")
         # A hub need not be one on every shared token: nothing is asked of their number.
         more = pairs_of(large, hubs, F.col("x.id") != F.col("y.id")).select("a", "b")
         links = links.unionByName(checked(more, "more-links"))
-        dropped(apart, root)
     # Then all pairs of rows that are still apart.
     root = components(links)
-    apart = still_apart(root)
+    before, apart = apart, still_apart(apart, root)
+    dropped(before, root)
     rest = pairs_of(apart, apart, F.col("x.id") < F.col("y.id")).where("shared >= least").select("a", "b")
     rest = checked(rest, "second-links")
-    dropped(postings, held, apart, root)
+    dropped(held, apart)
     final = components(links.unionByName(rest))
     # A row finds its component by itself, or by the first of its heavy class.
     found = rows.join(F.broadcast(heavy), "key", "left").select(

@@ -585,3 +585,27 @@ def test_anchors_of_many_texts_are_those_of_each():
             else:
                 want.append([head + place, head + s, 1, int(own[place])])
     assert [list(x) for x in zip(at.tolist(), start.tolist(), n.tolist(), grams[at].tolist())] == want
+
+
+def test_postings_without_another_of_nearly_that_size_go(spark):
+    rows = spark.createDataFrame([(1, 1, 100), (1, 2, 84), (1, 3, 200), (2, 4, 100), (2, 5, 85), (2, 6, 300),
+                                  (3, 7, 50), (4, 8, 9), (4, 9, 9)], "token int, id long, n_shingles long")
+    assert sorted(r.id for r in ngram_join.near_in_size(rows, 85).collect()) == [4, 5, 8, 9]
+
+
+def test_rows_split_by_their_keys(spark):
+    from fieldbalance.llm.common import split_among
+    rows = spark.range(1000).selectExpr("IF(id = 7, NULL, id) AS k")
+    maybe, others = split_among(rows, "k", spark.range(100, 120).toDF("h"))
+    held, rest = [r.k for r in maybe.collect()], [r.k for r in others.collect()]
+    assert set(range(100, 120)) <= set(held) and len(held) < 100
+    assert sorted(held + rest, key=str) == sorted([None if i == 7 else i for i in range(1000)], key=str)
+
+
+def test_few_contaminated_rows_shuffle_no_texts(spark):
+    docs = spark.createDataFrame([(1, "a b c d e f g"), (2, None), (None, "a b c d e f g"), (3, "x y z")], "doc_id long, text string")
+    items = spark.createDataFrame([(1, "a b c d e f g")], "item_id long, text string")
+    got = decontaminate.clean(docs, items, least_words=1)
+    assert sorted((r.doc_id, r.text) for r in got.collect()) == [(2, None), (3, "x y z")]
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert "Union" in plan and "_mask" in plan
